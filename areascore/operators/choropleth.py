@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from areascore.functions import percent_of_range, score_tier
 from areascore.operators.ranking import global_rank
+from areascore.operators.scoring import attach_row
 
 
 def quantile_breaks(long: DataFrame, key: str, n: int = 7, pieces: int | None = None) -> DataFrame:
@@ -78,15 +79,13 @@ def add_percent_of_range(
             F.coalesce(F.max(value), F.lit(1.0)).alias(f"hi_{name}"),
         ]
     ranges = df.agg(*extremes)
-    row = ranges.select(F.struct(*ranges.columns).alias("row")).scalar()
-    return df.withColumns(
-        {
-            f"{name}{suffix}": percent_of_range(
-                F.col(name).cast("double"), row[f"lo_{name}"], row[f"hi_{name}"], invert
-            )
-            for name, invert in inverted.items()
-        }
-    )
+    bars = {
+        f"{name}{suffix}": percent_of_range(
+            F.col(name).cast("double"), F.col(f"lo_{name}"), F.col(f"hi_{name}"), invert
+        )
+        for name, invert in inverted.items()
+    }
+    return attach_row(df, ranges).withColumns(bars).drop(*ranges.columns)
 
 
 def add_score_tier(df: DataFrame, score: str, tier: str = "tier") -> DataFrame:

@@ -1,8 +1,8 @@
 """Z-scores, sub-scores, weighted composite, gate and 0–100 rescale.
 
-Whole-column statistics enter as scalar subqueries: Spark computes them first and uses them as
-constants, without a join and without a trip through Python. The input is read twice, so hand
-in a table, or a frame that ``scratch.materialize`` has written.
+Whole-column statistics enter as one scalar subquery: Spark computes it first and hands every task
+the values, without a join and without a trip through Python. The input is read
+twice, so hand in a table, or a frame that ``scratch.materialize`` has written.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from areascore.functions import plus_zero
@@ -47,9 +47,14 @@ def column_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.agg(*aggregates)
 
 
-def _one_row(stats: DataFrame) -> Column:
-    """A one-row frame as a struct-valued scalar subquery."""
-    return stats.select(F.struct(*stats.columns).alias("row")).scalar()
+def attach_row(df: DataFrame, row: DataFrame) -> DataFrame:
+    """Adds the columns of a one-row frame, such as global aggregates, to every row.
+
+    The row is a scalar subquery unpacked by a generator. Used directly, each mention of
+    a statistic would plan its own copy of the subquery.
+    """
+    packed = row.select(F.struct(*row.columns).alias("row")).scalar()
+    return df.select("*", F.inline(F.array(packed)))
 
 
 def add_zscores(
@@ -61,15 +66,14 @@ def add_zscores(
     """
     if stats is None:
         stats = column_stats(df, list(directions))
-    row = _one_row(stats)
     zscores = {}
     for name, direction in directions.items():
-        mean, spread = row[f"mu_{name}"], row[f"sd_{name}"]
+        mean, spread = F.col(f"mu_{name}"), F.col(f"sd_{name}")
         base = F.coalesce(F.col(name).cast("double"), mean)
         flat = spread.isNull() | F.isnan(spread) | (spread == 0)
         z = (base - mean) / F.nullif(spread, F.lit(0.0)) * F.lit(float(direction))
         zscores[f"z_{name}"] = plus_zero(F.when(flat, F.lit(0.0)).otherwise(z))
-    return df.withColumns(zscores)
+    return attach_row(df, stats).withColumns(zscores).drop(*stats.columns)
 
 
 def add_subscores(df: DataFrame, subscores: Mapping[str, Sequence[str]]) -> DataFrame:
@@ -103,15 +107,18 @@ def gate_scores(df: DataFrame, spec: ScoreSpec) -> DataFrame:
 
 def minmax_rescale(df: DataFrame, column: str, rescaled: str, flat: float = 50.0) -> DataFrame:
     """Adds ``column`` rescaled to 0–100; null stays null, ``flat`` where there is no range."""
-    row = _one_row(df.agg(F.min(column).alias("lo"), F.max(column).alias("hi")))
-    lo, hi = row["lo"], row["hi"]
-    value = F.col(column)
+    bounds = df.agg(F.min(column).alias("_lo"), F.max(column).alias("_hi"))
+    lo, hi, value = F.col("_lo"), F.col("_hi"), F.col(column)
     scaled = F.lit(100.0) * (value - lo) / F.nullif(hi - lo, F.lit(0.0))
-    return df.withColumn(
-        rescaled,
-        F.when(value.isNull(), F.lit(None).cast("double"))
-        .when(hi == lo, F.lit(flat))
-        .otherwise(scaled),
+    return (
+        attach_row(df, bounds)
+        .withColumn(
+            rescaled,
+            F.when(value.isNull(), F.lit(None).cast("double"))
+            .when(hi == lo, F.lit(flat))
+            .otherwise(scaled),
+        )
+        .drop("_lo", "_hi")
     )
 
 

@@ -76,6 +76,7 @@ def main():
             "spark.driver.memory": "12g",
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
+            "spark.ui.showConsoleProgress": "false",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
