@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from areascore.partitions import spread
 from areascore.scratch import materialize
 
 # Cells along the longer side of a polygon: at least this many, at most twice as many.
@@ -79,12 +80,15 @@ def crossing_state(edges: Column, x: Column, y: Column) -> Column:
 def build_cells(
     polygons: DataFrame, cells_per_side: int = CELLS_PER_SIDE, cell_group: int = CELL_GROUP
 ) -> CellIndex:
-    """Cut polygons (as from ``sources.read_polygons``) along the grid."""
+    """Cut polygons (as from ``sources.read_polygons``) along the grid.
+
+    A polygon becomes at most ``(2 * cells_per_side + 1) ** 2`` cells, whatever its size.
+    """
     extent = F.greatest(
         F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"), F.lit(1e-9)
     )
     level = F.floor(F.log2(extent / F.lit(float(cells_per_side)))).cast("int")
-    sized = polygons.withColumn("level", level).withColumn("side", F.pow(F.lit(2.0), "level"))
+    sized = spread(polygons).withColumn("level", level).withColumn("side", F.pow(F.lit(2.0), "level"))
 
     def span(lo: str, hi: str) -> Column:
         return F.explode(F.sequence(_cell(F.col(lo), F.col("side")), _cell(F.col(hi), F.col("side"))))
@@ -132,13 +136,13 @@ def build_cells(
 
     # In a cell some polygon covers, later polygons can never be the first match.
     per_cell = cells.groupBy("level", "cx", "cy").agg(
-        F.min(F.when(F.col("covered"), F.col("area"))).alias("first_cover")
+        F.min(F.when(F.col("covered"), F.col("area"))).alias("first_cover"),
+        F.count(F.lit(1)).alias("n"),
     )
     useful = cells.join(per_cell, ["level", "cx", "cy"]).filter(
         F.col("first_cover").isNull() | (F.col("area") <= F.col("first_cover"))
     )
-    sizes = useful.groupBy("level", "cx", "cy").agg(F.count(F.lit(1)).alias("n"))
-    parts = useful.join(sizes, ["level", "cx", "cy"]).withColumn(
+    parts = useful.withColumn(
         "part", F.pmod(F.xxhash64("area"), F.ceil(F.col("n") / F.lit(cell_group)))
     )
     packed = parts.groupBy("level", "cx", "cy", "part", (F.col("n") > cell_group).alias("crowded")).agg(
@@ -198,7 +202,7 @@ def locate_points(
     is joined by cell, where adaptive execution splits a cell that holds many points.
     """
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
-    located = points.filter(px.isNotNull() & py.isNotNull())
+    located = spread(points.filter(px.isNotNull() & py.isNotNull()))
     small = index.size <= broadcast_bytes
     hits = []
     for number, level in enumerate(index.levels):

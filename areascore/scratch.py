@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_root: str | None = None
+_paths: list[str] = []
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -33,7 +34,21 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _paths.append(path)
+    return path
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a table written by this session."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every scratch table of this session; frames that read them are no longer usable."""
+    while _paths:
+        remove_path(spark, _paths.pop())
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from areascore.scratch import scratch_path
+from areascore.scratch import remove_path, scratch_path
 
 SINGLE_FILE_ROWS = 1_000_000
 
@@ -58,8 +58,7 @@ def write_single_file(
     if not fs.rename(parts[0], target):
         raise RuntimeError(f"could not move {parts[0].toString()} to {path}")
     fs.delete(folder, True)
-    staged_folder = jvm.org.apache.hadoop.fs.Path(staged_path)
-    staged_folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(staged_folder, True)
+    remove_path(spark, staged_path)
 
 
 def write_with_counts(df: DataFrame, path: str, **counts: Column) -> dict[str, int]:

@@ -14,6 +14,7 @@ import time
 
 from pyspark.sql import SparkSession
 
+from areascore.scratch import release
 from areascore.testbed import QUERIES
 
 HEADLINE = [
@@ -42,7 +43,9 @@ HEADLINE = [
 def run(spark: SparkSession, name: str, sf_dir: str) -> float:
     start = time.perf_counter()
     QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - start
+    seconds = time.perf_counter() - start
+    release(spark)
+    return seconds
 
 
 def main() -> None:

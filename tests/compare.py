@@ -65,6 +65,7 @@ def difference(spark, con, build, sql, sf_dir):
 
 def main():
     from __spark_entry__ import oracle_sql, queries
+    from areascore.scratch import release
     from areascore.session import build_session
 
     sf_dir = f"/root/testdata/sf{sys.argv[1] if len(sys.argv) > 1 else '0.01'}"
@@ -95,6 +96,7 @@ def main():
         except Exception as error:
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         bad += problem is not None
+        release(spark)
         print(f"{'ok ' if problem is None else 'BAD'} {name} {time.time() - start:.2f}s {problem or ''}", flush=True)
     print(f"{bad} bad")
 
