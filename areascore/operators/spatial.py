@@ -1,9 +1,15 @@
 """Points into areas: a point-in-polygon join on grid cells.
 
 Each polygon is cut along a grid. A cell that it covers fully needs no geometry any
-more; a cell that its border crosses keeps only the edges that matter there. A point
-then meets its cell in an equi-join and tests a handful of edges, all in built-in
-expressions, and the join returns one row per point.
+more; a cell that its border crosses keeps only the edges in it. A point then meets
+its cell in an equi-join and tests a handful of edges, all in built-in expressions, and
+the join returns one row per point.
+
+Inside or outside is the even-odd rule along a ray from the point towards growing x. An edge counts
+when the ray meets it, i.e. when ``lo <= y < hi`` for its ends; so an edge wholly to the right
+of a cell toggles the answer at ``lo`` and at ``hi``, whatever x is. Vertices shared by two such
+edges toggle twice and cancel, which leaves very few heights (``turns``) to keep for
+all the geometry to the right of a cell.
 
 The cell side is a power of two picked per polygon from its own extent, so a large polygon
 does not break into very many cells nor a small one hide in a cell with hundreds
@@ -33,14 +39,13 @@ class CellIndex:
     """Polygons cut along the grid, written to the shared folder.
 
     ``cells`` has one row per (level, cx, cy, part): a list of polygons touching the cell.
-    ``levels`` are the exponents of the cell sides in use, ``crowded`` says whether a cell
-    has more than one part, ``size`` estimates the bytes of the whole index.
+    ``levels`` maps the exponent of each cell side in use to the estimated bytes of its cells;
+    ``crowded`` says whether a cell has more than one part.
     """
 
     cells: DataFrame
-    levels: list[int]
+    levels: dict[int, int]
     crowded: bool
-    size: int
 
 
 def _cell(value: Column, side: Column) -> Column:
@@ -52,12 +57,9 @@ def _point_cell(value: Column, side: Column) -> Column:
     return F.when(~F.isnan(value), _cell(value, side))
 
 
-def crossing_state(edges: Column, x: Column, y: Column) -> Column:
-    """1 when the point is strictly inside the rings, 0 outside, 2 on an edge.
-
-    Even-odd rule along a ray towards growing x. An edge counts when its ends lie on
-    different sides of the ray, the upper side being strict, so a vertex counts once.
-    """
+def _crossing_state(candidate: Column, x: Column, y: Column) -> Column:
+    """1 when the point is strictly inside, 0 outside, 2 on an edge."""
+    turned = F.size(F.filter(candidate["turns"], lambda turn: turn <= y))
 
     def step(state: Column, e: Column) -> Column:
         rise = e["y2"] - e["y1"]
@@ -74,7 +76,18 @@ def crossing_state(edges: Column, x: Column, y: Column) -> Column:
             F.when((state == 2) | on_edge, F.lit(2)).when(crosses, F.lit(1) - state).otherwise(state)
         )
 
-    return F.aggregate(edges, F.lit(0), step)
+    return F.aggregate(candidate["edges"], (candidate["start"] + turned) % 2, step)
+
+
+def _odd_values(values: Column) -> Column:
+    """The values that occur an odd number of times: equal neighbours cancel after a sort."""
+
+    def cancel(kept: Column, value: Column) -> Column:
+        return F.when(
+            F.get(kept, F.size(kept) - 1) == value, F.slice(kept, F.lit(1), F.size(kept) - 1)
+        ).otherwise(F.concat(kept, F.array(value)))
+
+    return F.aggregate(F.array_sort(values), F.array().cast("array<double>"), cancel)
 
 
 def build_cells(
@@ -95,42 +108,44 @@ def build_cells(
 
     # Rows of cells. Comparing cell numbers instead of coordinates keeps every edge whose
     # extent rounds into the row.
+    side, cx, cy = F.col("side"), F.col("cx"), F.col("cy")
     rows = sized.withColumn("cy", span("min_y", "max_y")).withColumn(
         "edges",
         F.filter(
             "edges",
-            lambda e: (_cell(F.greatest(e["y1"], e["y2"]), F.col("side")) >= F.col("cy"))
-            & (_cell(F.least(e["y1"], e["y2"]), F.col("side")) <= F.col("cy")),
+            lambda e: (_cell(F.greatest(e["y1"], e["y2"]), side) >= cy)
+            & (_cell(F.least(e["y1"], e["y2"]), side) <= cy),
         ),
     )
-    # Cells of a row: edges left of the cell cannot meet a ray that starts in it.
-    cells = rows.withColumn("cx", span("min_x", "max_x")).withColumn(
-        "edges",
-        F.filter(
-            "edges",
-            lambda e: _cell(F.greatest(e["x1"], e["x2"]), F.col("side")) >= F.col("cx"),
-        ),
-    )
-    crossed = F.exists(
-        "edges", lambda e: _cell(F.least(e["x1"], e["x2"]), F.col("side")) <= F.col("cx")
-    )
-    center_x = (F.col("cx") + F.lit(0.5)) * F.col("side")
-    center_y = (F.col("cy") + F.lit(0.5)) * F.col("side")
-    covered = ~crossed & (crossing_state(F.col("edges"), center_x, center_y) == 1)
+    # Cells of a row: edges left of the cell cannot meet a ray that starts in it, edges right
+    # of it only count by their ends.
     cells = (
-        cells.withColumn("crossed", crossed)
-        .withColumn("covered", covered)
-        .filter("crossed OR covered")
+        rows.withColumn("cx", span("min_x", "max_x"))
+        .withColumn(
+            "ends",
+            F.flatten(
+                F.transform(
+                    F.filter("edges", lambda e: _cell(F.least(e["x1"], e["x2"]), side) > cx),
+                    lambda e: F.array(e["y1"], e["y2"]),
+                )
+            ),
+        )
         .select(
             "level",
             "cx",
             "cy",
             F.struct("ord", "area_code", "area_name").alias("area"),
-            "covered",
-            F.when(F.col("crossed"), F.col("edges"))
-            .otherwise(F.slice("edges", 1, 0))
-            .alias("edges"),
+            (F.size(F.filter("ends", lambda end: _cell(end, side) < cy)) % 2).alias("start"),
+            _odd_values(F.filter("ends", lambda end: _cell(end, side) == cy)).alias("turns"),
+            F.filter(
+                "edges",
+                lambda e: (_cell(F.greatest(e["x1"], e["x2"]), side) >= cx)
+                & (_cell(F.least(e["x1"], e["x2"]), side) <= cx),
+            ).alias("edges"),
         )
+        # Without an edge in it a cell lies inside the polygon or outside as a whole.
+        .withColumn("covered", (F.size("edges") == 0) & (F.col("start") == 1))
+        .filter((F.size("edges") > 0) | F.col("covered"))
     )
     cells = materialize(cells, "cells")
 
@@ -146,7 +161,9 @@ def build_cells(
         "part", F.pmod(F.xxhash64("area"), F.ceil(F.col("n") / F.lit(cell_group)))
     )
     packed = parts.groupBy("level", "cx", "cy", "part", (F.col("n") > cell_group).alias("crowded")).agg(
-        F.sort_array(F.collect_list(F.struct("area", "covered", "edges"))).alias("candidates")
+        F.sort_array(
+            F.collect_list(F.struct("area", "covered", "start", "turns", "edges"))
+        ).alias("candidates")
     )
     packed = materialize(packed, "cell-index")
     per_level = packed.groupBy("level").agg(
@@ -156,7 +173,7 @@ def build_cells(
             + F.aggregate(
                 "candidates",
                 F.lit(0),
-                lambda total, c: total + 128 + F.size(c["edges"]) * 48,
+                lambda total, c: total + 160 + F.size(c["edges"]) * 48 + F.size(c["turns"]) * 8,
             )
         ).alias("bytes"),
     )
@@ -164,9 +181,8 @@ def build_cells(
     summary = per_level.orderBy("level").collect()
     return CellIndex(
         cells=packed,
-        levels=[row["level"] for row in summary],
+        levels={row["level"]: row["bytes"] for row in summary},
         crowded=any(row["crowded"] for row in summary),
-        size=sum(row["bytes"] for row in summary),
     )
 
 
@@ -178,7 +194,7 @@ def _first_hit(candidates: Column, x: Column, y: Column) -> Column:
         nothing,
         lambda found, c: F.coalesce(
             found,
-            F.when(c["covered"] | (crossing_state(c["edges"], x, y) == 1), c["area"]),
+            F.when(c["covered"] | (_crossing_state(c, x, y) == 1), c["area"]),
         ),
     )
 
@@ -198,19 +214,20 @@ def locate_points(
     coordinate are dropped. All other rows come back once, with ``code`` and ``name``, null
     outside every polygon.
 
-    An index below ``broadcast_bytes`` is broadcast and the points never move; a larger one
-    is joined by cell, where adaptive execution splits a cell that holds many points.
+    The smallest levels of the index are broadcast while they fit in ``broadcast_bytes``
+    together, and for them the points never move; a larger level is joined by
+    cell, where adaptive execution splits a cell that holds many points.
     """
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
     located = spread(points.filter(px.isNotNull() & py.isNotNull()))
-    small = index.size <= broadcast_bytes
-    hits = []
-    for number, level in enumerate(index.levels):
+    hits, sent = [], 0
+    for number, level in enumerate(sorted(index.levels, key=index.levels.get)):
         side = F.lit(2.0**level)
         cells = index.cells.filter((F.col("level") == level) & ~F.col("crowded")).select(
             F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), "candidates"
         )
-        if small:
+        sent += index.levels[level]
+        if sent <= broadcast_bytes:
             cells = F.broadcast(cells)
         keyed = located.withColumn("_px", _point_cell(px, side)).withColumn(
             "_py", _point_cell(py, side)
