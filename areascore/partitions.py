@@ -11,8 +11,11 @@ def spread(df: DataFrame) -> DataFrame:
     A CSV with line breaks inside quotes, or a parquet file with one row group, is read
     by one task. Work that is heavy per row should not stay there. Inputs with enough
     pieces are returned as they are, without a shuffle.
+
+    For frames made of scans and narrow steps: counting the pieces of any other frame would run
+    its shuffles.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= cores:
+    if df.rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(cores)

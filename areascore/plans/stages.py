@@ -2,7 +2,8 @@
 
 The functions named after a stage's work return DataFrames without running anything; the ``run_*``
 functions write them. Every table is computed by its write and nothing else:
-counts ride on the writes, and a table needed again is read back.
+counts ride on the writes, and a table needed again is read back. Score and result tables become one
+file each, as a browser wants them, unless they are too large for that.
 """
 
 from __future__ import annotations
@@ -26,8 +27,9 @@ from areascore.operators.ranking import top_bottom
 from areascore.operators.reshape import latest_per_key, long_metrics, melt
 from areascore.operators.scoring import score_areas
 from areascore.operators.spatial import build_cells, locate_points
+from areascore.partitions import spread
 from areascore.plans import civic
-from areascore.sinks import write_dataset, write_single_file, write_with_counts
+from areascore.sinks import write_dataset, write_table, write_with_counts
 from areascore.sources import (
     Layout,
     read_csv,
@@ -94,19 +96,22 @@ def run_enrich(
     polygons = read_polygons(
         spark, layout.geo(civic.POLYGON_FILE), per_line=per_line, order_field=order_field
     )
-    index = build_cells(polygons)
+    index = build_cells(spread(polygons))
     hits = F.count("nta_code")
     counts = {}
     for feed in civic.POINT_FEEDS:
         placed = locate_points(
-            read_dataset(spark, layout.cleaned(feed)), index, code="nta_code", name="nta_name"
+            spread(read_dataset(spark, layout.cleaned(feed))),
+            index,
+            code="nta_code",
+            name="nta_name",
         )
         counts[feed] = write_with_counts(placed, layout.enriched(feed), hits=hits)
 
     restaurants = read_dataset(spark, layout.enriched("restaurants"))
     lookup = zip_to_area(restaurants, "ZIPCODE", "nta_code", "nta_name", pad=True)
     lookup_path = layout.geo(civic.ZIP_LOOKUP_FILE)
-    write_single_file(lookup, lookup_path, "csv")
+    write_table(lookup, lookup_path, "csv")
     rent = enrich_rent(
         read_dataset(spark, layout.cleaned("rent")), read_lookup_csv(spark, lookup_path)
     )
@@ -158,17 +163,17 @@ def run_features(spark: SparkSession, layout: Layout, fill_rates: bool = True) -
     ]
     population = read_population(spark, layout.geo(civic.POPULATION_FILE))
     features = area_features(*inputs, population, fill_rates=fill_rates)
-    write_dataset(features, layout.scores(civic.FEATURES_TABLE), parts=1)
+    write_dataset(features, layout.scores(civic.FEATURES_TABLE))
 
 
 # --- score ---------------------------------------------------------------------------------
 
 
 def run_score(spark: SparkSession, layout: Layout) -> None:
-    """Feature table to score table, one file."""
+    """Feature table to score table."""
     features = read_dataset(spark, layout.scores(civic.FEATURES_TABLE))
     scored = score_areas(features, civic.SCORE_SPEC)
-    write_single_file(scored, layout.scores(civic.SCORES_TABLE))
+    write_table(scored, layout.scores(civic.SCORES_TABLE))
 
 
 # --- analytics -----------------------------------------------------------------------------
@@ -204,10 +209,10 @@ def result_tables(scored: DataFrame) -> dict[str, Callable[[], DataFrame]]:
 
 
 def run_analytics(spark: SparkSession, layout: Layout) -> None:
-    """Score table to nine result tables, one file each."""
+    """Score table to nine result tables."""
     scored = read_dataset(spark, layout.scores(civic.SCORES_TABLE))
     for name, plan in result_tables(scored).items():
-        write_single_file(plan(), layout.analytics(f"{name}.parquet"))
+        write_table(plan(), layout.analytics(f"{name}.parquet"))
 
 
 def run_all(spark: SparkSession, layout: Layout) -> None:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from areascore.operators.choropleth import polygon_attributes
 from areascore.operators.lookup import hit_rate
 from areascore.operators.spatial import build_cells, locate_points
+from areascore.partitions import spread
 from areascore.scratch import scratch_path
 from areascore.sources.geojson import (
     MAP_CODE_FIELDS,
@@ -157,8 +158,8 @@ LOCATED_SQL = f"""{EDGES_SQL},
 
 
 def located(spark, sf_dir):
-    index = build_cells(polygons(spark, sf_dir))
-    return locate_points(points(spark, sf_dir), index, "x", "y")
+    index = build_cells(spread(polygons(spark, sf_dir)))
+    return locate_points(spread(points(spark, sf_dir)), index, "x", "y")
 
 
 @query(

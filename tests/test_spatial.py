@@ -171,6 +171,25 @@ def test_hot_place_keeps_every_row(spark, tmp_path):
         assert located.filter(~F.col("area_code").eqNullSafe(expected)).count() == 0
 
 
+def test_points_of_a_stream(spark, tmp_path):
+    path = write_collection(tmp_path / "a.geojson", [DONUT, PAIR])
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    schema = "k int, Longitude double, Latitude double"
+    spark.createDataFrame([(1, 2.0, 5.0), (2, 5.0, 5.0), (3, 18.5, 5.0)], schema).write.parquet(source)
+    index = build_cells(read_polygons(spark, path))
+    located = locate_points(spark.readStream.schema(schema).parquet(source), index)
+    query = (
+        located.select("k", "area_code")
+        .writeStream.format("parquet")
+        .option("path", out)
+        .option("checkpointLocation", str(tmp_path / "state"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    assert rows(spark.read.parquet(out)) == [(1, "DN"), (2, None), (3, "PR")]
+
+
 def test_no_polygons(spark, tmp_path):
     path = write_collection(tmp_path / "a.geojson", [feature(None, "x", [square(0, 0, 1)])])
     assert placed(spark, read_polygons(spark, path), [(1, 0.0, 0.0)]) == {1: None}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from areascore import scratch
 from areascore.partitions import spread
-from areascore.sinks import write_dataset, write_single_file, write_with_counts
+from areascore.sinks import write_dataset, write_single_file, write_table, write_with_counts
 from areascore.sources import Layout, read_csv, read_lookup_csv, read_population
 
 
@@ -62,6 +62,17 @@ def test_single_file_replaces_and_refuses(spark, tmp_path, fmt):
     assert not os.path.exists(path + ".parts")
 
 
+@pytest.mark.parametrize("fmt", ["parquet", "csv"])
+def test_large_result_becomes_a_directory(spark, tmp_path, fmt):
+    path = str(tmp_path / f"out.{fmt}")
+    df = spark.range(100).repartition(5)
+    for limit, is_file in ((100, True), (99, False), (100, True)):
+        write_table(df, path, fmt, max_rows=limit)
+        assert os.path.isfile(path) == is_file
+        back = spark.read.format(fmt).option("header", True).load(path)
+        assert back.count() == 100
+
+
 def test_write_with_counts_and_parts(spark, tmp_path):
     path = str(tmp_path / "out")
     df = spark.range(50).withColumn("v", F.when(F.col("id") % 2 == 0, F.col("id")))
