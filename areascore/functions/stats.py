@@ -14,12 +14,11 @@ def quantile(c: Column, p: float, accuracy: int = 1000) -> Column:
 def pair_correlation(a: Column, b: Column) -> Column:
     """Pearson r over rows where both are present; null when it is undefined.
 
-    Written from moments because ``corr`` divides by zero on a constant column in ANSI mode.
+    Written from sums of squares because ``corr`` divides by zero on a constant column in ANSI
+    mode. They skip rows where either value is missing.
     """
-    both = a.isNotNull() & b.isNotNull()
-    x, y = F.when(both, a), F.when(both, b)
-    spread = F.stddev_pop(x) * F.stddev_pop(y)
-    return F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0))
+    spread = F.sqrt(F.regr_sxx(a, b)) * F.sqrt(F.regr_syy(a, b))
+    return F.regr_sxy(a, b) / F.nullif(spread, F.lit(0.0))
 
 
 def plus_zero(c: Column) -> Column:

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from areascore.scratch import materialize
 
 # Cells along the longer side of a polygon: at least this many, at most twice as many.
-CELLS_PER_SIDE = 4
+CELLS_PER_SIDE = 8
 # Polygons of one cell that travel together; a cell with more is split into groups.
 CELL_GROUP = 64
 # Index size up to which it is sent whole to every executor.

@@ -29,10 +29,17 @@ class Metric:
 
 def metric_table(spark: SparkSession, metrics: Sequence[Metric]) -> DataFrame:
     """Metric metadata as a frame, one row per metric."""
-    rows = [(m.key, m.column, m.label, m.unit, m.higher_is_better) for m in metrics]
-    return spark.createDataFrame(
-        rows, "metric string, column string, label string, unit string, higher_is_better boolean"
-    )
+    rows = [
+        F.struct(
+            F.lit(m.key).alias("metric"),
+            F.lit(m.column).alias("column"),
+            F.lit(m.label).alias("label"),
+            F.lit(m.unit).alias("unit"),
+            F.lit(m.higher_is_better).alias("higher_is_better"),
+        )
+        for m in metrics
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
 
 
 def metric_map(metrics: Sequence[Metric]) -> dict[str, str]:
