@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 
 from areascore.scratch import materialize
 
-# Cells along the longer side of a polygon: at least this many, at most twice as many.
-CELLS_PER_SIDE = 8
+# Cells along the longer side of a polygon, by its number of edges: at least this many, at most
+# twice as many. Finer cells hold fewer edges, but a plain shape has few to begin with.
+CELLS_PER_SIDE = {32: 2, 1000: 8}
+CELLS_PER_SIDE_BEYOND = 16
 # Polygons of one cell that travel together; a cell with more is split into groups.
 CELL_GROUP = 64
 # Index size up to which it is sent whole to every executor.
@@ -90,16 +92,23 @@ def _odd_values(values: Column) -> Column:
 
 
 def build_cells(
-    polygons: DataFrame, cells_per_side: int = CELLS_PER_SIDE, cell_group: int = CELL_GROUP
+    polygons: DataFrame, cells_per_side: int | None = None, cell_group: int = CELL_GROUP
 ) -> CellIndex:
     """Cut polygons (as from ``sources.read_polygons``) along the grid.
 
-    A polygon becomes at most ``(2 * cells_per_side + 1) ** 2`` cells, whatever its size.
+    A polygon becomes at most ``(2 * cells_per_side + 1) ** 2`` cells, whatever its size. The number
+    per side follows the detail of each polygon unless it is given.
     """
+    if cells_per_side is not None:
+        per_side = F.lit(float(cells_per_side))
+    else:
+        per_side = F.lit(float(CELLS_PER_SIDE_BEYOND))
+        for most, cells in sorted(CELLS_PER_SIDE.items(), reverse=True):
+            per_side = F.when(F.size("edges") <= most, F.lit(float(cells))).otherwise(per_side)
     extent = F.greatest(
         F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"), F.lit(1e-9)
     )
-    level = F.floor(F.log2(extent / F.lit(float(cells_per_side)))).cast("int")
+    level = F.floor(F.log2(extent / per_side)).cast("int")
     sized = polygons.withColumn("level", level).withColumn("side", F.pow(F.lit(2.0), "level"))
 
     def span(lo: str, hi: str) -> Column:
