@@ -83,3 +83,35 @@ def test_hot_customer_is_aggregated_before_the_shuffle(spark):
     assert plan.index("Exchange") < plan.index("partial_count")
     row = features.filter("area = 1").first()
     assert row["n"] == facts.filter("area = 1").count()
+
+
+def test_hot_cell_of_a_large_index_is_split(spark):
+    """A third of the points in one cell, an index too large to broadcast: the cell's rows spread."""
+    from areascore.operators.spatial import build_cells, locate_points
+    from areascore.testbed import places
+
+    index = build_cells(places.polygons(spark, SF_DIR))
+    points = spark.range(0, 600_000, 1, 8).select(
+        "id",
+        F.rand(5).alias("payload"),
+        F.when(F.col("id") % 3 == 0, 0.3).otherwise(F.rand(1) * 60).alias("x"),
+        F.when(F.col("id") % 3 == 0, 0.4).otherwise(F.rand(2) * 60).alias("y"),
+    )
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "500k",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        located = locate_points(points, index, "x", "y", broadcast_bytes=0)
+        counted = located.agg(
+            F.count(F.lit(1)), F.count("area_code"), F.sum("payload"), F.sum("id")
+        )
+        assert counted.collect()[0][0] == 600_000
+        assert "skew=true" in plan_of(counted)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)

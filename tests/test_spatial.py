@@ -81,11 +81,13 @@ def test_hand_worked_points(spark, tmp_path):
         (13, 50.0, 50.0),  # far away
         (14, -3.0, -3.0),
         (15, float("nan"), 5.0),
+        (16, 5.0, float("inf")),
+        (17, -1e300, 5.0),
     ]
     got = placed(spark, read_polygons(spark, path), points)
     assert got == {
         1: "DN", 2: None, 3: None, 4: None, 5: None, 6: "DN", 7: "LT", 8: "LT", 9: None,
-        10: "PR", 11: "PR", 12: None, 13: None, 14: None, 15: None,
+        10: "PR", 11: "PR", 12: None, 13: None, 14: None, 15: None, 16: None, 17: None,
     }
 
 
