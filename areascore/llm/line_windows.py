@@ -15,7 +15,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from areascore.llm.batches import Kept, map_batches, texts
@@ -86,6 +86,13 @@ def repeated_lines(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     )
 
 
+def without_lines(text: str, starts: str, width: int = WIDTH) -> Column:
+    """The text without the lines of the windows at ``starts`` (from 0), as an expression."""
+    lines = F.split(F.col(text), "\n", -1)
+    inside = lambda i: F.exists(F.col(starts), lambda s: (s <= i) & (i < s + width))
+    return F.array_join(F.filter(lines, lambda _, i: ~inside(i)), "\n")
+
+
 def line_dedup(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id, n_lines, n_removed and the text left of every row.
 

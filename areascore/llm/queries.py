@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from areascore.llm import (
     block_naming,
+    embedding_graph,
     line_windows,
     minhash,
     packing,
+    piece_sampling,
     quality,
+    relative_lz,
     token_counts,
     toxicity,
 )
@@ -44,6 +47,32 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_packing(documents(spark, sf_dir))
 
 
+OP2_SQL = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), windows AS (
+  SELECT doc_id, unnest(range(1, len(w) - 18)) AS i, array_to_string(w[i:i + 19], ' ') AS s FROM words
+), places AS (
+  SELECT doc_id, i, min((doc_id, i)) OVER (PARTITION BY s) AS earliest FROM windows
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS k FROM places WHERE (doc_id, i) > earliest
+), each_word AS (
+  SELECT doc_id, unnest(range(1, len(w) + 1)) AS k, w[k] AS word FROM words
+), left_over AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY k) AS t, count(*) AS n
+  FROM each_word ANTI JOIN gone USING (doc_id, k) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM words LEFT JOIN left_over USING (doc_id)
+"""
+
+
+@query("op2_relative_lz_dedup", OP2_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = relative_lz.parse(documents(spark, sf_dir))
+    return parsed.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @query("op3_quality_classifier")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(documents(spark, sf_dir), labels(spark, sf_dir))
@@ -110,6 +139,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_windows.line_dedup(documents(spark, sf_dir))
 
 
+@query("op6_piece_sampling")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_sampling.encode(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"))
+
+
 @query("op7_toxicity")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(documents(spark, sf_dir), labels(spark, sf_dir))
@@ -120,6 +154,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), tokenizer_path())
 
 
+@query("op9_embedding_near_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_graph.near_dedup(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 OP10_SQL = r"""
 WITH normalised AS (
   SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents

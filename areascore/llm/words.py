@@ -93,6 +93,14 @@ class Words:
         self.ends = np.flatnonzero(full & (after | edge[1:])) + 1
         self.first = np.searchsorted(self.starts, offsets)
 
+    @classmethod
+    def of(cls, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Words:
+        """Any stretches of bytes in order, as words of one row."""
+        self = cls.__new__(cls)
+        self.data, self.offsets, self.starts, self.ends = data, np.array([0, len(data)]), starts, ends
+        self.first = np.array([0, len(starts)])
+        return self
+
     def __len__(self) -> int:
         return len(self.starts)
 
@@ -122,6 +130,21 @@ class Words:
         """The row of each word."""
         return np.repeat(np.arange(len(self.first) - 1), self.counts())
 
+    def joined(self, keep: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes and row offsets of the words, or those of a mask, with one space between two."""
+        which = np.arange(len(self)) if keep is None else np.flatnonzero(keep)
+        rows, ends = self.rows()[which], self.ends[which]
+        steps = np.zeros(len(self.data) + 1, dtype=np.int8)
+        steps[self.starts[which]] += 1
+        steps[ends] -= 1
+        taken = np.cumsum(steps[:-1], dtype=np.int8) > 0
+        between = ends[:-1][rows[1:] == rows[:-1]]  # a later word follows, so white space does
+        taken[between] = True
+        data = self.data.copy()
+        data[between] = 0x20
+        sums = np.concatenate(([0], np.cumsum(taken, dtype=np.int64)))
+        return data[taken], sums[self.offsets]
+
 
 def windows(hashes: np.ndarray, width: int, salt: int = 0) -> np.ndarray:
     """Hash of ``width`` consecutive words from every word on, rows not looked at.
