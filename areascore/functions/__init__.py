@@ -2,6 +2,7 @@
 
 from areascore.functions.numeric import (
     binary_flag,
+    finite,
     guarded_ratio,
     percent_of_range,
     rate_per,
@@ -15,6 +16,7 @@ from areascore.functions.text import extract_zip, normalize_text, prefix_lookup
 __all__ = [
     "binary_flag",
     "extract_zip",
+    "finite",
     "guarded_ratio",
     "normalize_text",
     "pair_correlation",

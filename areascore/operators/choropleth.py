@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from areascore.functions import percent_of_range, score_tier
+from areascore.functions import finite, percent_of_range, score_tier
 from areascore.operators.ranking import global_rank
 from areascore.operators.scoring import attach_row
 
@@ -17,9 +17,9 @@ def quantile_breaks(long: DataFrame, key: str, n: int = 7, pieces: int | None =
 
     Break ``i`` is the sorted value at position ``floor(i / n * count)``, counted from 0.
     """
-    finite = long.filter(~F.isnan("value") & (F.abs("value") < float("inf")))
+    known = long.filter(finite(F.col("value")).isNotNull())
     ranked = global_rank(
-        finite.select("metric", key, "value"), "metric", [F.asc("value"), F.asc(key)], pieces=pieces
+        known.select("metric", key, "value"), "metric", [F.asc("value"), F.asc(key)], pieces=pieces
     )
     positions = F.transform(
         F.sequence(F.lit(1), F.lit(n - 1)),
@@ -35,23 +35,27 @@ def quantile_breaks(long: DataFrame, key: str, n: int = 7, pieces: int | None =
 
 
 def choropleth_class(long: DataFrame, breaks: DataFrame) -> DataFrame:
-    """Adds ``class_index``: how many breaks of its metric lie below the value."""
+    """Adds ``class_index``: how many breaks of its metric lie below the value; null unless it is finite."""
     # n - 1 breaks per metric, one row per metric.
     per_metric = breaks.groupBy("metric").agg(F.collect_list("break_value").alias("_breaks"))
     return (
         long.join(F.broadcast(per_metric), "metric", "left")
         .withColumn(
-            "class_index", F.size(F.filter("_breaks", lambda b: F.col("value") > b)).cast("int")
+            "class_index",
+            F.when(
+                finite(F.col("value")).isNotNull(),
+                F.size(F.filter("_breaks", lambda b: F.col("value") > b)).cast("int"),
+            ),
         )
         .drop("_breaks")
     )
 
 
 def metric_ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(metric, lo, hi)`` per column; 0..1 for a column without values."""
+    """``(metric, lo, hi)`` per column; finite values only, 0..1 for a column without any."""
     extremes = []
     for name in columns:
-        value = F.col(name).cast("double")
+        value = finite(F.col(name).cast("double"))
         extremes += [F.min(value).alias(f"lo_{name}"), F.max(value).alias(f"hi_{name}")]
     rows = [
         F.struct(
@@ -73,7 +77,7 @@ def add_percent_of_range(
     """
     extremes = []
     for name in inverted:
-        value = F.col(name).cast("double")
+        value = finite(F.col(name).cast("double"))
         extremes += [
             F.coalesce(F.min(value), F.lit(0.0)).alias(f"lo_{name}"),
             F.coalesce(F.max(value), F.lit(1.0)).alias(f"hi_{name}"),

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from areascore.scratch import materialize
+from areascore.scratch import materialize, materialize_sized
+
+PIECE_BYTES = 32 << 20
 
 
 def global_rank(
@@ -25,12 +27,13 @@ def global_rank(
     into pieces; each piece is ranked alone and shifted by the number of rows in the pieces
     before it. ``order`` must be unique within a group for the result to be deterministic.
 
-    The range partitioned rows are written once: their bounds come from a sample, and
-    the ranks and the counts must see the same pieces. ``df`` is read twice before that, by the
-    sample and by the write.
+    ``df`` is written once, which also gives its size and so the number of pieces, one for each
+    ``PIECE_BYTES``. The range partitioned rows are written as well: their bounds come from a
+    sample, and the ranks and the counts must see the same pieces.
     """
+    df, size = materialize_sized(df, "to-rank")
     if pieces is None:
-        pieces = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        pieces = size // PIECE_BYTES + 1
     cut = df.repartitionByRange(pieces, F.col(group), *order)
     cut = materialize(cut.withColumn("_piece", F.spark_partition_id()), "ranked")
     # One row per group and piece: bounded by groups + pieces, since a piece that holds

@@ -33,7 +33,7 @@ def long_metrics(df: DataFrame, ids: Sequence[str], metrics: Mapping[str, str])
     )
     long = wide.unpivot(list(ids), [f"m_{key}" for key in metrics], "metric", "value")
     return long.filter(F.col("value").isNotNull()).withColumn(
-        "metric", F.substring("metric", 3, 1_000)
+        "metric", F.expr("substring(metric, 3)")
     )
 
 

@@ -178,7 +178,7 @@ def xy_points(df: DataFrame, predictors: Sequence[str], y: str, ids: Sequence[st
     )
     long = wide.unpivot([*ids, "y"], [f"x_{name}" for name in predictors], "feature", "x")
     return long.filter(F.col("x").isNotNull()).select(
-        F.substring("feature", 3, 1_000).alias("feature"), *ids, "x", "y"
+        F.expr("substring(feature, 3)").alias("feature"), *ids, "x", "y"
     )
 
 

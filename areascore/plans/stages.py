@@ -2,8 +2,8 @@
 
 The functions named after a stage's work return DataFrames without running anything; the ``run_*``
 functions write them. Every table is computed by its write and nothing else:
-counts ride on the writes, and a table needed again is read back. Score and result tables become one
-file each, as a browser wants them, unless they are too large for that.
+counts ride on the writes, and a table needed again is read back. The ZIP lookup, the score table and the
+result tables, a few rows an area, become one file each, as a browser wants them; all others are directories.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from areascore.operators.scoring import score_areas
 from areascore.operators.spatial import build_cells, locate_points
 from areascore.partitions import spread
 from areascore.plans import civic
-from areascore.sinks import write_dataset, write_table, write_with_counts
+from areascore.sinks import write_dataset, write_single_file, write_with_counts
 from areascore.sources import (
     Layout,
     read_csv,
@@ -111,7 +111,7 @@ def run_enrich(
     restaurants = read_dataset(spark, layout.enriched("restaurants"))
     lookup = zip_to_area(restaurants, "ZIPCODE", "nta_code", "nta_name", pad=True)
     lookup_path = layout.geo(civic.ZIP_LOOKUP_FILE)
-    write_table(lookup, lookup_path, "csv")
+    write_single_file(lookup, lookup_path, "csv")
     rent = enrich_rent(
         read_dataset(spark, layout.cleaned("rent")), read_lookup_csv(spark, lookup_path)
     )
@@ -173,7 +173,7 @@ def run_score(spark: SparkSession, layout: Layout) -> None:
     """Feature table to score table."""
     features = read_dataset(spark, layout.scores(civic.FEATURES_TABLE))
     scored = score_areas(features, civic.SCORE_SPEC)
-    write_table(scored, layout.scores(civic.SCORES_TABLE))
+    write_single_file(scored, layout.scores(civic.SCORES_TABLE))
 
 
 # --- analytics -----------------------------------------------------------------------------
@@ -212,7 +212,7 @@ def run_analytics(spark: SparkSession, layout: Layout) -> None:
     """Score table to nine result tables."""
     scored = read_dataset(spark, layout.scores(civic.SCORES_TABLE))
     for name, plan in result_tables(scored).items():
-        write_table(plan(), layout.analytics(f"{name}.parquet"))
+        write_single_file(plan(), layout.analytics(f"{name}.parquet"))
 
 
 def run_all(spark: SparkSession, layout: Layout) -> None:

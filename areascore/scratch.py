@@ -57,3 +57,13 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def materialize_sized(df: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """:func:`materialize`, with the bytes the table takes up."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    summary = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(hadoop_path)
+    return spark.read.schema(df.schema).parquet(path), summary.getLength()

@@ -1,10 +1,10 @@
 """Writers."""
 
 from areascore.sinks.writers import (
+    write_csv,
     write_dataset,
     write_single_file,
-    write_table,
     write_with_counts,
 )
 
-__all__ = ["write_dataset", "write_single_file", "write_table", "write_with_counts"]
+__all__ = ["write_csv", "write_dataset", "write_single_file", "write_with_counts"]

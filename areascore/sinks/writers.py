@@ -7,7 +7,13 @@ from pyspark.sql import functions as F
 
 from areascore.scratch import remove_path, scratch_path
 
-SINGLE_FILE_ROWS = 1_000_000
+# Read back as written: quotes doubled, spaces kept.
+CSV_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
 
 
 def write_dataset(df: DataFrame, path: str, parts: int | None = None) -> None:
@@ -20,22 +26,24 @@ def write_dataset(df: DataFrame, path: str, parts: int | None = None) -> None:
     out.write.mode("overwrite").parquet(path)
 
 
-def _stage(df: DataFrame) -> tuple[str, DataFrame]:
-    """The rows of ``df``, computed and written in parallel, so that counting them costs nothing."""
-    path = scratch_path(df.sparkSession, "result")
-    df.write.parquet(path)
-    return path, df.sparkSession.read.schema(df.schema).parquet(path)
+def write_single_file(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Replace ``path`` by one parquet file, or one CSV file with a header, whatever the size.
 
-
-def _hoist(staged: DataFrame, path: str, fmt: str) -> None:
-    """Write one part and move it to ``path``."""
-    spark = staged.sparkSession
+    For result tables that are read as a file. The rows are computed in parallel and stored first; one
+    task then copies them, so large tables belong in :func:`write_dataset`.
+    """
+    if fmt not in ("parquet", "csv"):
+        raise ValueError(f"unknown format {fmt}")
+    spark = df.sparkSession
+    staged_path = scratch_path(spark, "result")
+    df.write.parquet(staged_path)
+    staged = spark.read.schema(df.schema).parquet(staged_path)
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder = spark._jvm.org.apache.hadoop.fs.Path(path + ".parts")
     fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     writer = staged.repartition(1).write.mode("overwrite")
     if fmt == "csv":
-        writer = writer.option("header", True).option("escape", '"')
+        writer = writer.options(**CSV_OPTIONS)
     writer.format(fmt).save(folder.toString())
     parts = [
         status.getPath()
@@ -49,43 +57,12 @@ def _hoist(staged: DataFrame, path: str, fmt: str) -> None:
     if not fs.rename(parts[0], target):
         raise RuntimeError(f"could not move {parts[0].toString()} to {path}")
     fs.delete(folder, True)
+    remove_path(spark, staged_path)
 
 
-def write_single_file(
-    df: DataFrame, path: str, fmt: str = "parquet", max_rows: int = SINGLE_FILE_ROWS
-) -> None:
-    """Replace ``path`` by one parquet file, or one CSV file with a header.
-
-    For result tables only: when there are more than ``max_rows`` rows, nothing is replaced
-    and an error says so.
-    """
-    if fmt not in ("parquet", "csv"):
-        raise ValueError(f"unknown format {fmt}")
-    staged_path, staged = _stage(df)
-    rows = staged.count()
-    if rows <= max_rows:
-        _hoist(staged, path, fmt)
-    remove_path(df.sparkSession, staged_path)
-    if rows > max_rows:
-        raise ValueError(f"{rows} rows are too many for one file; use write_table")
-
-
-def write_table(
-    df: DataFrame, path: str, fmt: str = "parquet", max_rows: int = SINGLE_FILE_ROWS
-) -> None:
-    """:func:`write_single_file`, or a directory of files when there are more rows.
-
-    Readers of the path need not care which of the two it is.
-    """
-    staged_path, staged = _stage(df)
-    if staged.count() <= max_rows:
-        _hoist(staged, path, fmt)
-    else:
-        writer = staged.write.mode("overwrite")
-        if fmt == "csv":
-            writer = writer.option("header", True).option("escape", '"')
-        writer.format(fmt).save(path)
-    remove_path(df.sparkSession, staged_path)
+def write_csv(df: DataFrame, path: str) -> None:
+    """Overwrite a directory of CSV files with headers."""
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def write_with_counts(df: DataFrame, path: str, **counts: Column) -> dict[str, int]:

@@ -31,6 +31,8 @@ def read_csv(
     null. Nothing is inferred, so the file is read once, and only the wanted
     columns are parsed. Without ``columns`` every column is a string.
 
+    Files of a folder must have the same header; one with other columns, or another order, raises.
+
     ``multi_line`` accepts line breaks inside quotes but keeps a file whole in one
     task: deliver large feeds as many files, or switch it off where no field
     holds a line break.
@@ -40,6 +42,7 @@ def read_csv(
         .option("inferSchema", False)
         .option("multiLine", multi_line)
         .option("escape", '"')
+        .option("enforceSchema", False)
         .csv(path)
     )
     if columns is None:
@@ -52,7 +55,7 @@ def read_csv(
 
 def read_lookup_csv(spark: SparkSession, path: str) -> DataFrame:
     """Lookup table with a header; every column a string, so codes keep leading zeros."""
-    return spark.read.option("header", True).csv(path)
+    return read_csv(spark, path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -12,43 +12,29 @@ from areascore.scratch import materialize
 from areascore.testbed.cleaning import RAW_ZIP, complaints
 from areascore.testbed.registry import query, r, round_columns, table
 
+# What makes a customer area lively and dependable; unlike the civic scores, most features count in favour.
 SPEC = scoring.ScoreSpec(
     directions={
-        "incidents_per_1k": -1,
+        "n_inspections": 1,
+        "rent_mean": 1,
+        "avg_score": 1,
         "flagged_share": -1,
-        "avg_score": -1,
-        "critical_rate": -1,
         "complaints_per_1k": -1,
-        "rent_mean": -1,
+        "population": 1,
     },
     subscores={
-        "safety_score": ["incidents_per_1k", "flagged_share"],
-        "food_safety_score": ["avg_score", "critical_rate"],
-        "cleanliness_score": ["complaints_per_1k"],
-        "affordability_score": ["rent_mean"],
-    },
-    weights={
-        "safety_score": 0.30,
-        "food_safety_score": 0.25,
-        "cleanliness_score": 0.15,
-        "affordability_score": 0.30,
+        "volume": ["n_inspections", "avg_score", "population"],
+        "means": ["rent_mean"],
+        "calm": ["flagged_share", "complaints_per_1k"],
     },
+    weights={"volume": 0.45, "means": 0.2, "calm": 0.35},
     gate_measure="rent_mean",
     gate_count="n_inspections",
     gate_min=35,
 )
 FEATURES = list(SPEC.directions)
-RATES = {"incidents_per_1k": "total_incidents", "complaints_per_1k": "n_complaints"}
-FILLED = [
-    "total_incidents",
-    "flagged_incidents",
-    "flagged_share",
-    "n_inspections",
-    "critical_rate",
-    "n_complaints",
-    "incidents_per_1k",
-    "complaints_per_1k",
-]
+RATES = {"complaints_per_1k": "n_complaints", "incidents_per_1k": "total_incidents"}
+FILLED = {"n_complaints": "0", "complaints_per_1k": "0.0", "n_inspections": "0", "flagged_share": "0.0"}
 
 AREA_CODE = "concat(substring(c_mktsegment, 1, 2), lpad(CAST(c_custkey AS STRING), 12, '0'))"
 POPULATION = "CAST((c_custkey % 7) * 1000 AS DOUBLE)"
@@ -179,14 +165,7 @@ RATED_SQL = f"""{MERGED_SQL}, {PEOPLE_SQL},
     FROM merged LEFT JOIN people USING (area_key))"""
 FILLED_SQL = f"""{RATED_SQL},
   filled AS (SELECT * REPLACE (
-      coalesce(total_incidents, 0) AS total_incidents,
-      coalesce(flagged_incidents, 0) AS flagged_incidents,
-      coalesce(flagged_share, 0.0) AS flagged_share,
-      coalesce(n_inspections, 0) AS n_inspections,
-      coalesce(critical_rate, 0.0) AS critical_rate,
-      coalesce(n_complaints, 0) AS n_complaints,
-      coalesce(incidents_per_1k, 0.0) AS incidents_per_1k,
-      coalesce(complaints_per_1k, 0.0) AS complaints_per_1k) FROM rated)"""
+      {", ".join(f"coalesce({c}, {zero}) AS {c}" for c, zero in FILLED.items())}) FROM rated)"""
 FEATURES_SQL = f"""{FILLED_SQL},
   curated AS (SELECT {AREA_CODE} AS area_code, {OVERRIDE} AS curated FROM customer
     WHERE c_custkey % 11 = 5),
@@ -236,7 +215,7 @@ def rated_features(spark, sf_dir):
 
 def area_features(spark, sf_dir):
     """The feature table, written once: scores and result tables read it more than once."""
-    filled = ops.fill_structural_nulls(rated_features(spark, sf_dir), FILLED)
+    filled = ops.fill_structural_nulls(rated_features(spark, sf_dir), list(FILLED))
     given = overrides(spark, sf_dir)
     features = ops.override_nulls(filled, given, "area_code", "rent_mean", "rent_imputed")
     return materialize(features, "area-features")
@@ -295,7 +274,7 @@ def rate_expression(spark, sf_dir):
     FROM filled""",
 )
 def fill_structural_nulls(spark, sf_dir):
-    filled = ops.fill_structural_nulls(rated_features(spark, sf_dir), FILLED)
+    filled = ops.fill_structural_nulls(rated_features(spark, sf_dir), list(FILLED))
     return round_columns(filled, *FEATURE_ROUNDED, *RATE_ROUNDED)
 
 
@@ -339,11 +318,10 @@ COMPOSITE_SQL = (
     + " + ".join(f"{weight} * {name}" for name, weight in SPEC.weights.items())
     + " AS score FROM subscored)"
 )
+UNSCORED = f"rent_mean IS NULL AND (n_inspections IS NULL OR n_inspections < {SPEC.gate_min})"
 GATED_SQL = f"""{COMPOSITE_SQL},
-  gated AS (SELECT * REPLACE (CASE WHEN rent_mean IS NULL AND (n_inspections IS NULL OR n_inspections < 35)
-      THEN NULL ELSE score END AS score),
-    NOT (rent_mean IS NULL AND (n_inspections IS NULL OR n_inspections < 35)) AS score_available
-    FROM composed)"""
+  gated AS (SELECT * REPLACE (CASE WHEN {UNSCORED} THEN NULL ELSE score END AS score),
+    NOT ({UNSCORED}) AS score_available FROM composed)"""
 SCORED_SQL = f"""{GATED_SQL}, span AS (SELECT min(score) AS lo, max(score) AS hi FROM gated),
   scored AS (SELECT gated.*, CASE WHEN score IS NULL THEN NULL WHEN hi = lo THEN 50.0
       ELSE 100.0 * (score - lo) / (hi - lo) END AS score_100 FROM gated, span)"""

@@ -6,18 +6,12 @@ from pyspark.sql import functions as F
 
 from areascore.operators.cleaning import drop_sentinels, normalize_columns
 from areascore.scratch import scratch_path
-from areascore.sinks import write_dataset, write_single_file, write_with_counts
+from areascore.sinks import write_csv, write_dataset, write_single_file, write_with_counts
 from areascore.sources import read_csv, read_dataset, read_lookup_csv, read_population
 from areascore.testbed.cleaning import RAW_CUSTOMERS_SQL, raw_customers
 from areascore.testbed.registry import query, table
 
 
-def write_csv(df, path):
-    df.write.option("header", True).option("escape", '"').option(
-        "ignoreLeadingWhiteSpace", False
-    ).option("ignoreTrailingWhiteSpace", False).csv(path)
-
-
 @query("csv_roundtrip", "SELECT doc_id, text, lang, n_chars FROM documents")
 def csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "documents-csv")
@@ -26,19 +20,44 @@ def csv_roundtrip(spark, sf_dir):
     return read_csv(spark, path, columns)
 
 
+AWKWARD_NAME = """CASE c_custkey % 4 WHEN 0 THEN concat('The "Hub", ', c_name) WHEN 1 THEN concat('  ', c_name, ' ')
+  WHEN 2 THEN concat(c_name, chr(10), 'north') ELSE concat(c_name, '"') END"""
+
+
 @query(
     "lookup_csv",
-    """SELECT lpad(CAST(c_custkey AS VARCHAR), 12, '0') AS area_code, c_name AS area_name FROM customer""",
+    f"""SELECT lpad(CAST(c_custkey AS VARCHAR), 12, '0') AS area_code, {AWKWARD_NAME} AS area_name FROM customer""",
 )
 def lookup_csv(spark, sf_dir):
-    path = scratch_path(spark, "lookup-csv")
+    """Written as the stages write their lookup, with quotes, commas, spaces and line breaks in the names."""
+    path = scratch_path(spark, "lookup") + ".csv"
     lookup = table(spark, sf_dir, "customer").selectExpr(
-        "lpad(CAST(c_custkey AS STRING), 12, '0') AS area_code", "c_name AS area_name"
+        "lpad(CAST(c_custkey AS STRING), 12, '0') AS area_code", f"{AWKWARD_NAME} AS area_name"
     )
-    write_csv(lookup, path)
+    write_single_file(lookup, path, "csv")
     return read_lookup_csv(spark, path)
 
 
+@query("csv_many_files", "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders")
+def csv_many_files(spark, sf_dir):
+    path = scratch_path(spark, "orders-csv")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice")
+    write_csv(orders.repartition(5), path)
+    columns = {"o_totalprice": "double", "o_orderkey": "bigint", "o_orderpriority": "string"}
+    read = read_csv(spark, path, columns, multi_line=False)
+    return read.select("o_orderkey", "o_orderpriority", "o_totalprice")
+
+
+@query("dataset_parts", "SELECT c_custkey, c_mktsegment, CAST(1 AS BIGINT) AS parts FROM customer")
+def dataset_parts(spark, sf_dir):
+    """Any number of input pieces, one part written."""
+    path = scratch_path(spark, "customers")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
+    write_dataset(customers.repartition(3), path, parts=1)
+    written = read_dataset(spark, path)
+    return written.withColumn("parts", F.lit(len(written.inputFiles())).cast("long"))
+
+
 @query(
     "population_optional",
     """SELECT c_custkey AS area_key,

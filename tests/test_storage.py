@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from areascore import scratch
 from areascore.partitions import spread
-from areascore.sinks import write_dataset, write_single_file, write_table, write_with_counts
+from areascore.sinks import write_csv, write_dataset, write_single_file, write_with_counts
 from areascore.sources import Layout, read_csv, read_lookup_csv, read_population
 
 
@@ -48,7 +48,7 @@ def test_layout():
 
 
 @pytest.mark.parametrize("fmt", ["parquet", "csv"])
-def test_single_file_replaces_and_refuses(spark, tmp_path, fmt):
+def test_single_file_replaces(spark, tmp_path, fmt):
     path = str(tmp_path / f"out.{fmt}")
     df = spark.range(100).repartition(5)
     write_single_file(df.limit(3), path, fmt)
@@ -56,21 +56,28 @@ def test_single_file_replaces_and_refuses(spark, tmp_path, fmt):
     assert os.path.isfile(path)
     back = spark.read.parquet(path) if fmt == "parquet" else spark.read.option("header", True).csv(path)
     assert back.count() == 100
-    with pytest.raises(ValueError, match="too many"):
-        write_single_file(df, path, fmt, max_rows=99)
-    assert back.count() == 100
     assert not os.path.exists(path + ".parts")
 
 
-@pytest.mark.parametrize("fmt", ["parquet", "csv"])
-def test_large_result_becomes_a_directory(spark, tmp_path, fmt):
-    path = str(tmp_path / f"out.{fmt}")
-    df = spark.range(100).repartition(5)
-    for limit, is_file in ((100, True), (99, False), (100, True)):
-        write_table(df, path, fmt, max_rows=limit)
-        assert os.path.isfile(path) == is_file
-        back = spark.read.format(fmt).option("header", True).load(path)
-        assert back.count() == 100
+def test_lookup_comes_back_as_written(spark, tmp_path):
+    names = ['The "Hub", north', 'quote at end"', " padded ", "two\nlines", "plain"]
+    df = spark.createDataFrame([(f"{i:05d}", name) for i, name in enumerate(names)], "zip string, name string")
+    path = str(tmp_path / "lookup.csv")
+    write_single_file(df, path, "csv")
+    assert rows(read_lookup_csv(spark, path)) == rows(df)
+
+
+@pytest.mark.parametrize("multi_line", [True, False])
+def test_files_with_other_headers_raise(spark, tmp_path, multi_line):
+    folder = tmp_path / "feed"
+    folder.mkdir()
+    (folder / "a.csv").write_text("id,lat,lon\n1,40.6,-73.8\n")
+    (folder / "b.csv").write_text("id,lon,lat\n2,-73.8,40.6\n")
+    columns = {"id": "string", "lat": "double", "lon": "double"}
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(folder), columns, multi_line).collect()
+    write_csv(spark.createDataFrame([("1", 40.6, -73.8)], "id string, lat double, lon double").repartition(2), str(tmp_path / "same"))
+    assert rows(read_csv(spark, str(tmp_path / "same"), columns, multi_line)) == [("1", 40.6, -73.8)]
 
 
 def test_write_with_counts_and_parts(spark, tmp_path):

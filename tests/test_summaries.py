@@ -115,7 +115,8 @@ def test_breaks_and_classes(spark):
     breaks = choropleth.quantile_breaks(df, "k", 7)
     expected = [float(math.floor(i / 7 * 20)) for i in range(1, 7)]
     assert [row["break_value"] for row in breaks.orderBy("break_index").collect()] == expected
-    classes = {row["k"]: row["class_index"] for row in choropleth.choropleth_class(df.filter("NOT isnan(value)"), breaks).collect()}
+    classes = {row["k"]: row["class_index"] for row in choropleth.choropleth_class(df, breaks).collect()}
+    assert classes["k20"] is None and classes["k21"] is None
     assert all(classes[f"k{i:02d}"] == sum(b < i for b in expected) for i in range(20))
     tiny = spark.createDataFrame([("m", "a", 1.0), ("m", "b", 2.0)], "metric string, k string, value double")
     got = choropleth.quantile_breaks(tiny, "k", 7).orderBy("break_index").collect()
