@@ -29,6 +29,14 @@ def texts(docs: DataFrame, *more: str) -> DataFrame:
     )
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``docs`` has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def held_out(doc_id: str = "doc_id"):
     """Rows whose labels are never learned from."""
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(5)) == 0

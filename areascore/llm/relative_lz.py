@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from areascore.llm.batches import Kept, lists, map_batches, slices, texts
+from areascore.llm.batches import Kept, lists, map_batches, slices, texts, unused
 from areascore.llm.words import Words, windows
 
 WINDOW = 20
@@ -64,7 +64,8 @@ def _whole(first: np.ndarray, window: int, n: int) -> np.ndarray:
 
 
 def _survey(docs: DataFrame, window: int, anchor: int) -> DataFrame:
-    """A row a document: size, digests, and its anchors: those alone in their batch, and the others."""
+    """A row a document: size, digests, the anchors that it stands for in its batch, and all of its anchors
+    that the batch has several times."""
 
     def work(batch: pa.RecordBatch):
         ids = batch.column("doc_id")
@@ -97,16 +98,18 @@ def _survey(docs: DataFrame, window: int, anchor: int) -> DataFrame:
         row, gram = np.concatenate(rows), np.concatenate(grams)
         use = indexed[row]
         row, gram = row[use], gram[use]
-        _, inverse, counts = np.unique(gram, return_inverse=True, return_counts=True)
-        alone = counts[inverse] == 1
+        _, where, inverse, counts = np.unique(gram, return_index=True, return_inverse=True, return_counts=True)
+        chosen = np.zeros(len(gram), dtype=bool)
+        chosen[where] = True  # one place of each anchor stands for the batch
+        several = counts[inverse] > 1
         count = lambda which: np.bincount(row[which], minlength=batch.num_rows)
         yield {
             "doc_id": ids,
             "n_words": np.concatenate(sizes),
             "digest": pa.array(digests, pa.binary()),
             "whole_sha256": shas,
-            "once": lists(gram[alone].view(np.int64), count(alone), pa.int64()),
-            "again": lists(gram[~alone].view(np.int64), count(~alone), pa.int64()),
+            "once": lists(gram[chosen].view(np.int64), count(chosen), pa.int64()),
+            "again": lists(gram[several].view(np.int64), count(several), pa.int64()),
         }
 
     schema = "doc_id long, n_words long, digest binary, whole_sha256 string, once array<long>, again array<long>"
@@ -392,11 +395,10 @@ def cut(docs: DataFrame, parsed: DataFrame) -> DataFrame:
 
     Other columns and untouched texts stay as they are.
     """
-    spans = parsed.filter("n_removed > 0").select(
-        F.col("doc_id").alias("__id"), F.col("factors").alias("__factors")
-    ).dropDuplicates(["__id"])
-    joined = docs.join(spans, docs["doc_id"].cast("long") == spans["__id"], "left").drop("__id")
-    columns = docs.columns
+    key, columns = unused(docs, "factor_doc_id"), docs.columns
+    spans = parsed.filter("n_removed > 0").select(F.col("doc_id").alias(key), "factors").dropDuplicates([key])
+    joined = docs.join(spans, docs["doc_id"].cast("long") == spans[key], "left")
+    joined = joined.select(*[docs[c] for c in columns], spans["factors"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -11,13 +11,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from areascore.llm import line_windows, minhash, packing, quality, relative_lz
-from areascore.llm.batches import Kept, documents, labels
+from areascore.llm.batches import Kept, documents, labels, unused
 
 
 def _only(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose doc_id is among ``chosen``."""
-    ids = chosen.select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(ids["__id"]), "left_semi")
+    key = unused(docs, "chosen_doc_id")
+    ids = chosen.select(F.col("doc_id").alias(key)).distinct()
+    return docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(ids[key]), "left_semi")
+
+
+def _recounted(docs: DataFrame, changed: DataFrame) -> DataFrame:
+    """``changed`` texts with the columns of ``docs``, of which n_chars follows the text."""
+    if "n_chars" not in docs.columns:
+        return changed.select(*docs.columns)
+    n_chars = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return changed.withColumn("n_chars", F.when(F.col("text").isNotNull(), n_chars).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,12 +40,13 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
     A document of which no line is left goes; one that was empty before stays.
     """
-    starts = line_windows.repeated_lines(docs).withColumnsRenamed({"doc_id": "__id", "starts": "__starts"})
-    joined = docs.join(starts, docs["doc_id"].cast("long") == starts["__id"], "left")
-    changed = F.col("__starts").isNotNull()
-    joined = joined.withColumn("text", F.when(changed, line_windows.without_lines("text", "__starts")).otherwise(F.col("text")))
+    key, at = unused(docs, "line_doc_id"), unused(docs, "line_starts")
+    starts = line_windows.repeated_lines(docs).withColumnsRenamed({"doc_id": key, "starts": at})
+    joined = docs.join(starts, docs["doc_id"].cast("long") == starts[key], "left")
+    changed = F.col(at).isNotNull()
+    joined = joined.withColumn("text", F.when(changed, line_windows.without_lines("text", at)).otherwise(F.col("text")))
     left = joined.filter(~changed | (F.length(F.regexp_replace("text", r"[\x20\x09-\x0D]+", "")) > 0))
-    return left.select(*docs.columns)
+    return _recounted(docs, left)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,7 +56,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that an earlier place holds as well; all documents stay."""
-    return relative_lz.cut(docs, relative_lz.parse(docs))
+    return _recounted(docs, relative_lz.cut(docs, relative_lz.parse(docs)))
 
 
 def pack_bins(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
