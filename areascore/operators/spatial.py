@@ -13,7 +13,8 @@ all the geometry to the right of a cell.
 
 The cell side is a power of two picked per polygon from its own extent, so a large polygon
 does not break into very many cells nor a small one hide in a cell with hundreds
-of others. Polygons of one cell side form a level, and each level is one join.
+of others. Polygons of one cell side form a level. Levels small enough to be sent to every executor
+are joined one by one, without moving a point; all others together are one join, of distinct places.
 """
 
 from __future__ import annotations
@@ -25,14 +26,16 @@ from pyspark.sql import functions as F
 
 from areascore.scratch import materialize
 
-# Cells along the longer side of a polygon, by its number of edges: at least this many, at most
-# twice as many. Finer cells hold fewer edges, but a plain shape has few to begin with.
-CELLS_PER_SIDE = {32: 2, 1000: 8}
-CELLS_PER_SIDE_BEYOND = 16
+# Cells along the longer side of a polygon, as a share of the root of its number of edges: at least so
+# many, at most twice as many. Edges in a cell then grow more slowly than the edges of a polygon.
+CELLS_PER_ROOT = 0.5
+LEAST_CELLS = 2
 # Polygons of one cell that travel together; a cell with more is split into groups.
 CELL_GROUP = 64
 # Index size up to which it is sent whole to every executor.
 BROADCAST_BYTES = 64 * 1024 * 1024
+# Pieces that the rows of one place are dealt into before they meet its area.
+PLACE_PIECES = 8
 
 
 @dataclass(frozen=True)
@@ -102,9 +105,8 @@ def build_cells(
     if cells_per_side is not None:
         per_side = F.lit(float(cells_per_side))
     else:
-        per_side = F.lit(float(CELLS_PER_SIDE_BEYOND))
-        for most, cells in sorted(CELLS_PER_SIDE.items(), reverse=True):
-            per_side = F.when(F.size("edges") <= most, F.lit(float(cells))).otherwise(per_side)
+        root = F.sqrt(F.size("edges").cast("double"))
+        per_side = F.greatest(F.lit(float(LEAST_CELLS)), F.floor(root * CELLS_PER_ROOT))
     extent = F.greatest(
         F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"), F.lit(1e-9)
     )
@@ -165,8 +167,9 @@ def build_cells(
     useful = cells.join(per_cell, ["level", "cx", "cy"]).filter(
         F.col("first_cover").isNull() | (F.col("area") <= F.col("first_cover"))
     )
+    # By geometry too: an area may be delivered as very many features.
     parts = useful.withColumn(
-        "part", F.pmod(F.xxhash64("area"), F.ceil(F.col("n") / F.lit(cell_group)))
+        "part", F.pmod(F.xxhash64("area", "start", "turns", "edges"), F.ceil(F.col("n") / F.lit(cell_group)))
     )
     packed = parts.groupBy("level", "cx", "cy", "part", (F.col("n") > cell_group).alias("crowded")).agg(
         F.sort_array(
@@ -223,34 +226,37 @@ def locate_points(
     outside every polygon.
 
     The smallest levels of the index are broadcast while they fit in ``broadcast_bytes``
-    together, and for them the points never move; a larger level is joined by
-    cell, where adaptive execution splits a cell that holds many points.
+    together, and for them the points never move. All other levels are met in one join, whatever
+    their number.
     """
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
     located = points.filter(px.isNotNull() & py.isNotNull())
-    hits, sent = [], 0
+    hits, sent, shuffled = [], 0, []
     for number, level in enumerate(sorted(index.levels, key=index.levels.get)):
+        sent += index.levels[level]
+        if sent > broadcast_bytes:
+            shuffled.append(level)
+            continue
         side = F.lit(2.0**level)
         cells = index.cells.filter((F.col("level") == level) & ~F.col("crowded")).select(
             F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), "candidates"
         )
-        sent += index.levels[level]
-        if sent <= broadcast_bytes:
-            cells = F.broadcast(cells)
         keyed = located.withColumn("_px", _point_cell(px, side)).withColumn(
             "_py", _point_cell(py, side)
         )
         joined = keyed.join(
-            cells, (F.col("_px") == F.col("_cx")) & (F.col("_py") == F.col("_cy")), "left"
+            F.broadcast(cells), (F.col("_px") == F.col("_cx")) & (F.col("_py") == F.col("_cy")), "left"
         )
         hit = f"_hit{number}"
         located = joined.withColumn(hit, _first_hit(F.col("candidates"), px, py)).drop(
             "_px", "_py", "_cx", "_cy", "candidates"
         )
         hits.append(hit)
-    if index.crowded:
-        located = _crowded_hits(located, index, px, py)
-        hits.append("_crowded_hit")
+    if shuffled or index.crowded:
+        cells = index.cells.filter(F.col("crowded") | F.col("level").isin(shuffled))
+        levels = list(index.levels) if index.crowded else shuffled
+        located = _shuffled_hits(located, cells, levels, px, py)
+        hits.append("_shuffled_hit")
     if not hits:
         first = F.lit(None).cast("struct<area_code: string, area_name: string>")
     elif len(hits) == 1:
@@ -264,34 +270,36 @@ def locate_points(
     )
 
 
-def _crowded_hits(points: DataFrame, index: CellIndex, px: Column, py: Column) -> DataFrame:
-    """Adds ``_crowded_hit`` from cells whose polygons were split into several parts.
+def _shuffled_hits(
+    points: DataFrame, cells: DataFrame, levels: list[int], px: Column, py: Column
+) -> DataFrame:
+    """Adds ``_shuffled_hit``, the first area over all parts of all cells of a point.
 
-    Works on distinct coordinates, so a place that repeats in very many rows is
-    tested once, and takes the smallest hit over the parts of the cell.
+    Works on distinct coordinates, so a place that repeats in very many rows is tested once: each place
+    meets its cells of all levels in one equi-join, and only the last join moves the points, those of one
+    place in several pieces.
     """
-    crowded = index.cells.filter("crowded")
     places = points.select(px.alias("_x"), py.alias("_y")).distinct()
-    found = []
-    for level in index.levels:
-        side = F.lit(2.0**level)
-        parts = crowded.filter(F.col("level") == level).select(
-            F.col("cx").alias("_cx"), F.col("cy").alias("_cy"), "candidates"
-        )
-        met = places.join(
-            parts,
-            (_point_cell(F.col("_x"), side) == F.col("_cx"))
-            & (_point_cell(F.col("_y"), side) == F.col("_cy")),
-        )
-        found.append(
-            met.select("_x", "_y", _first_hit(F.col("candidates"), F.col("_x"), F.col("_y")).alias("_hit"))
-        )
-    every = found[0]
-    for more in found[1:]:
-        every = every.unionByName(more)
+    keys = F.array(
+        *[
+            F.struct(
+                F.lit(level).alias("level"),
+                _point_cell(F.col("_x"), F.lit(2.0**level)).alias("cx"),
+                _point_cell(F.col("_y"), F.lit(2.0**level)).alias("cy"),
+            )
+            for level in levels
+        ]
+    )
+    met = places.select("_x", "_y", F.inline(keys)).join(cells, ["level", "cx", "cy"])
     best = (
-        every.filter(F.col("_hit").isNotNull())
+        met.select("_x", "_y", _first_hit(F.col("candidates"), F.col("_x"), F.col("_y")).alias("_hit"))
+        .filter(F.col("_hit").isNotNull())
         .groupBy("_x", "_y")
-        .agg(F.min("_hit").alias("_crowded_hit"))
+        .agg(F.min("_hit").alias("_shuffled_hit"))
     )
-    return points.join(best, (px == F.col("_x")) & (py == F.col("_y")), "left").drop("_x", "_y")
+    pieces = F.sequence(F.lit(0), F.lit(PLACE_PIECES - 1))
+    best = best.withColumn("_piece", F.explode(pieces))
+    piece = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in points.columns]), F.lit(PLACE_PIECES))
+    dealt = points.withColumn("_dealt", piece.cast("int"))
+    same = (px == F.col("_x")) & (py == F.col("_y")) & (F.col("_dealt") == F.col("_piece"))
+    return dealt.join(best, same, "left").drop("_x", "_y", "_piece", "_dealt")

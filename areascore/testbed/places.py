@@ -119,6 +119,24 @@ def edges(spark, sf_dir):
     return round_columns(rows, "x1", "y1", "x2", "y2")
 
 
+@query(
+    "polygon_edges_document",
+    f"""WITH {EDGES_SQL} SELECT ord, area_code, area_name, {r('x1')}, {r('y1')}, {r('x2')}, {r('y2')}
+    FROM edges""",
+)
+def edges_of_document(spark, sf_dir):
+    """The same features as one FeatureCollection document."""
+    path = scratch_path(spark, "geojson-document")
+    features = F.concat_ws(",", F.collect_list("value"))
+    geojson_lines(spark, sf_dir).agg(
+        F.concat(F.lit('{"type": "FeatureCollection", "features": ['), features, F.lit("]}")).alias("value")
+    ).write.text(path)
+    rows = polygon_edges(read_features(spark, path, order_field="ord"))
+    return round_columns(
+        rows.select("ord", "area_code", "area_name", F.inline("edges")), "x1", "y1", "x2", "y2"
+    )
+
+
 # Offsets from the supplier: multiples of 1/64, so that many points fall exactly on edges.
 POINT_X = """CAST((l_suppkey % 32) * 2 AS DOUBLE)
   + CAST((l_orderkey * 7919 + l_partkey * 31 + l_linenumber) % 193 - 96 AS DOUBLE) / 64"""
@@ -157,20 +175,33 @@ LOCATED_SQL = f"""{EDGES_SQL},
     LEFT JOIN areas USING (ord))"""
 
 
-def located(spark, sf_dir):
+def located(spark, sf_dir, **options):
     index = build_cells(spread(polygons(spark, sf_dir)))
-    return locate_points(spread(points(spark, sf_dir)), index, "x", "y")
+    return locate_points(spread(points(spark, sf_dir)), index, "x", "y", **options)
 
 
-@query(
-    "spatial_join",
-    f"""WITH {LOCATED_SQL} SELECT l_orderkey, l_linenumber, l_partkey, {r('x')}, {r('y')},
-      area_code, area_name FROM located""",
-)
+JOINED_SQL = f"""WITH {LOCATED_SQL} SELECT l_orderkey, l_linenumber, l_partkey, {r('x')}, {r('y')},
+      area_code, area_name FROM located"""
+
+
+@query("spatial_join", JOINED_SQL)
 def spatial_join(spark, sf_dir):
     return round_columns(located(spark, sf_dir), "x", "y")
 
 
+@query("spatial_join_shuffled", JOINED_SQL)
+def spatial_join_shuffled(spark, sf_dir):
+    """No level of the index sent whole, as for an index that is too large."""
+    return round_columns(located(spark, sf_dir, broadcast_bytes=0), "x", "y")
+
+
+@query("spatial_join_crowded", JOINED_SQL)
+def spatial_join_crowded(spark, sf_dir):
+    """Every cell of two or more polygons in parts, as where very many polygons meet."""
+    index = build_cells(spread(polygons(spark, sf_dir)), cell_group=1)
+    return round_columns(locate_points(spread(points(spark, sf_dir)), index, "x", "y"), "x", "y")
+
+
 @query(
     "spatial_hit_rate",
     f"""WITH {LOCATED_SQL} SELECT count(*) AS total, count(area_code) AS hits,
