@@ -14,18 +14,17 @@ from pyspark.sql import functions as F
 from areascore.llm.batches import Kept
 
 
-def _large_star(edges: DataFrame, keep: Kept) -> DataFrame:
+def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = keep(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "stars")
-    out = both.filter("b > a").join(least, "a")
-    return keep(out.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "edges")
+    least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+    return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
-def _small_star(edges: DataFrame, keep: Kept) -> DataFrame:
-    """Edges from a larger node ``a`` to a smaller one ``b``."""
-    least = keep(edges.groupBy("a").agg(F.min("b").alias("m")), "stars")
-    tied = edges.join(least, "a").filter("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return keep(tied.unionAll(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
+def _small_star(edges: DataFrame) -> DataFrame:
+    """Edges from a larger node ``a`` to a smaller one ``b``; the edge to the smallest ties the node itself."""
+    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    tied = F.when(F.col("b") > F.col("m"), F.col("b")).otherwise(F.col("a"))
+    return edges.join(least, "a").select(tied.alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -42,7 +41,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     edges = keep(edges.distinct(), "edges")
     before = _state(edges)
     while before[0]:
-        edges = _small_star(_large_star(edges, keep), keep)
+        edges = keep(_small_star(keep(_large_star(edges), "stars")), "edges")
         after = _state(edges)
         if after == before:
             break

@@ -6,11 +6,12 @@ agree in all minima of a band share a bucket and are candidates. Candidates whos
 agree well enough are compared on their full sets, and the links found so are closed by
 large-star and small-star.
 
-Buckets, however large, are never expanded into all pairs at once. Small ones are; a large one is
-taken hub by hub: its smallest members against the rest, then, as long as it still holds two
-components, the next ones, twice as many each round. What cannot have a link at all is left out
-before: shingles that no other candidate has bound a document's similarity with every other. So no
-pair is skipped for the size of its bucket.
+Buckets, however large, are never expanded into all pairs. Small ones are; in a large one the smallest
+members are compared with the rest. Buckets that still hold several components then get an exact
+similarity join over their documents by the rarest shingles, which pairs only what can be similar
+enough. Before all that, documents leave the buckets in which they cannot have a link: shingles that no
+other candidate has bound their similarity with every other. So no pair is skipped for the size of its
+bucket.
 
 With 25 bands of 5 minima a pair at similarity 0.85 shares no bucket once in two million times.
 """
@@ -146,39 +147,56 @@ def _candidates(bands: DataFrame, sets: DataFrame, keep: Kept, percent: int) ->
 
 
 def _pairs(hubs: DataFrame, members: DataFrame, percent: int, *also: Column) -> DataFrame:
-    names = [c for c in ("n", "m", "component") if c in members.columns]
-    left = hubs.select("key", F.col("id").alias("a"), *[F.col(c).alias(f"a_{c}") for c in names])
-    right = members.select("key", F.col("id").alias("b"), *[F.col(c).alias(f"b_{c}") for c in names])
-    met = left.join(right, "key").filter(F.col("a") < F.col("b"))
-    for condition in (_feasible(*[F.col(c) for c in ("a_n", "a_m", "b_n", "b_m")], percent), *also):
+    """Distinct pairs (a, b) of a hub and a member of its bucket that can be similar enough."""
+    names = ("n", "m")
+    left = hubs.select("key", F.col("id").alias("x"), *[F.col(c).alias(f"x_{c}") for c in names])
+    right = members.select("key", F.col("id").alias("y"), *[F.col(c).alias(f"y_{c}") for c in names])
+    met = left.join(right, "key").filter(_feasible(*[F.col(c) for c in ("x_n", "x_m", "y_n", "y_m")], percent))
+    for condition in also:
         met = met.filter(condition)
-    return met.select("a", "b").distinct()
+    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
+def _prefix_pairs(rest: DataFrame, sets: DataFrame, keep: Kept, percent: int) -> DataFrame:
+    """Pairs (a, b) of ``rest`` (id, component) in different components that can be similar enough.
+
+    Shingles are put in one order, rarest first. Two sets similar enough share a shingle among the first
+    few of both, and after the first one they share there must be enough left in both; nothing else is paired.
+    """
+    each = sets.join(rest, "id").select("id", "component", "n", F.explode("shingles").alias("s"))
+    each = keep(each, "shingles")
+    counts = each.groupBy("s").agg(F.count("*").alias("k"))
+    at = F.row_number().over(Window.partitionBy("id").orderBy("k", "s")) - 1
+    ordered = each.join(counts, "s").withColumn("at", at)
+    prefix = ordered.filter((F.col("k") > 1) & (F.col("at") <= F.col("n") - F.ceil(F.col("n") * percent / 100)))
+    prefix = keep(prefix.select("s", "id", "component", "n", "at"), "prefixes")
+    x, y = (prefix.select("s", *[F.col(c).alias(f"{p}_{c}") for c in ("id", "component", "n", "at")]) for p in "xy")
+    left = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))
+    enough = left * (100 + percent) >= percent * (F.col("x_n") + F.col("y_n"))
+    met = x.join(y, "s").filter((F.col("x_id") < F.col("y_id")) & (F.col("x_component") != F.col("y_component")) & enough)
+    return met.select(F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct()
 
 
 def _links(members: DataFrame, sets: DataFrame, keep: Kept, percent: int) -> DataFrame:
     """id and component of all documents with a link."""
     small = members.filter(F.col("size") <= SMALL_BUCKET)
     large = members.filter(F.col("size") > SMALL_BUCKET)
-    links = keep(_confirm(_pairs(small, small, percent), sets, percent), "links")
-    last, hubs = large.select("key").distinct().select("key", F.lit(None).cast("long").alias("last")), HUBS
+    place = F.row_number().over(Window.partitionBy("key").orderBy("id"))
+    hubs = keep(large.withColumn("place", place).filter(F.col("place") <= HUBS).drop("place"), "hubs")
+    pairs = _pairs(small, small, percent, F.col("x") < F.col("y"))
+    pairs = pairs.unionAll(_pairs(hubs, large, percent, F.col("x") < F.col("y"))).distinct()
+    links = keep(_confirm(pairs, sets, percent), "links")
     found = keep(connected_components(links), "components")
-    while True:
-        placed = large.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-        placed = keep(placed.join(last, "key"), "members")
-        mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
-        placed = placed.join(keep(mixed.filter("x < y").select("key"), "buckets"), "key", "left_semi")
-        place = F.row_number().over(Window.partitionBy("key").orderBy("id"))
-        ahead = placed.filter("last is null or id > last")
-        chosen = keep(ahead.withColumn("place", place).filter(F.col("place") <= hubs).drop("place"), "hubs")
-        if chosen.isEmpty():
-            return found
-        new = _pairs(chosen, placed, percent, F.col("a_component") != F.col("b_component"))
-        new = keep(_confirm(new, sets, percent), "links")
-        links = links.unionAll(new)
-        if not new.isEmpty():
-            found = keep(connected_components(links), "components")
-        last = keep(chosen.groupBy("key").agg(F.max("id").alias("last")), "hubs")
-        hubs *= 2
+    if hubs.isEmpty():
+        return found
+    placed = large.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    placed = keep(placed.select("key", "id", "component"), "members")
+    mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+    rest = placed.join(mixed.filter("x < y").select("key"), "key", "left_semi").select("id", "component").distinct()
+    more = keep(_confirm(_prefix_pairs(keep(rest, "rest"), sets, keep, percent), sets, percent), "links")
+    # Components so far count as stars, so only what is new has to be closed.
+    stars = found.filter("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
+    return connected_components(stars.unionAll(more)) if not more.isEmpty() else found
 
 
 def near_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
