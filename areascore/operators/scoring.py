@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from areascore.functions import plus_zero
@@ -135,3 +135,18 @@ def top_scores(df: DataFrame, score: str, key: str, n: int = 10, best: bool = Tr
     """The ``n`` highest (or lowest) scores; ties go by key."""
     order = F.desc(score) if best else F.asc(score)
     return df.filter(F.col(score).isNotNull()).orderBy(order, F.asc(key)).limit(n)
+
+
+def score_diagnostics(
+    scored: DataFrame, key: str, score: str, available: str, n: int = 10
+) -> DataFrame:
+    """``(kind, rank, key, score)``: the best and worst ``n`` areas, and every area without a score, unranked."""
+    sides = []
+    for kind, order in (("top", F.desc(score)), ("bottom", F.asc(score))):
+        first = top_scores(scored, score, key, n, kind == "top").select(key, score)
+        rank = F.row_number().over(Window.orderBy(order, F.asc(key)))  # n rows by now
+        sides.append(first.select(F.lit(kind).alias("kind"), rank.alias("rank"), key, score))
+    unscored = scored.filter(~F.col(available)).select(
+        F.lit("unscored").alias("kind"), F.lit(None).cast("int").alias("rank"), key, score
+    )
+    return sides[0].unionAll(sides[1]).unionAll(unscored)

@@ -19,6 +19,9 @@ RAW_FILES = {
     "rent": "zori_zip.csv",
 }
 
+# Feeds with free text that may hold line breaks; a file of these is read by one task.
+MULTI_LINE = {"crime": True, "restaurants": True, "complaints311": True, "rent": False}
+
 # Raw columns and their types. Dates are carried as text, as the feeds spell them.
 RAW_COLUMNS = {
     "crime": {
@@ -122,6 +125,7 @@ ZIP_LOOKUP_FILE = "zip_to_nta.csv"
 AREA_KEYS = ["nta_code", "nta_name"]
 FEATURES_TABLE = "neighborhood_features.parquet"
 SCORES_TABLE = "newcomer_score.parquet"
+DIAGNOSTICS_TABLE = "score_diagnostics.parquet"
 
 RENT_OVERRIDES = {"MN0601": 5775.0, "MN0301": 5500.0, "MN0602": 6300.0, "MN0402": 4475.0}
 
@@ -166,6 +170,22 @@ SCORE_SPEC = ScoreSpec(
     rescaled="newcomer_score_100",
 )
 
+# Result tables, and the columns that the stages add or look for.
+RESULT_TABLES = {
+    "summary": "summary",
+    "histogram": "distribution",
+    "top_bottom": "top_bottom",
+    "boxes": "borough_box",
+    "box_points": "borough_points",
+    "correlation": "correlation",
+    "bins": "rent_vs_feature_bins",
+    "fits": "rent_vs_feature_ols",
+    "points": "rent_vs_feature_points",
+}
+AREA_CODE, AREA_NAME = AREA_KEYS
+AREA_GROUP, AREA_COUNT = "borough", "n_ntas"
+RENT, RENT_IMPUTED = "median_rent_zori", "median_rent_imputed"
+
 METRICS = [
     Metric("score", "newcomer_score_100", "Newcomer Score", "/ 100", True),
     Metric("crime", "crimes_per_1k", "Crimes per 1k residents", "per 1k", False),

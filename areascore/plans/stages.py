@@ -25,11 +25,11 @@ from areascore.operators.cleaning import (
 from areascore.operators.lookup import lookup_join, zip_to_area
 from areascore.operators.ranking import top_bottom
 from areascore.operators.reshape import latest_per_key, long_metrics, melt
-from areascore.operators.scoring import score_areas
+from areascore.operators.scoring import score_areas, score_diagnostics
 from areascore.operators.spatial import build_cells, locate_points
 from areascore.partitions import spread
 from areascore.plans import civic
-from areascore.sinks import write_dataset, write_single_file, write_with_counts
+from areascore.sinks import count_rows, write_single_file, write_with_counts
 from areascore.sources import (
     Layout,
     read_csv,
@@ -42,19 +42,21 @@ from areascore.sources import (
 # --- clean ---------------------------------------------------------------------------------
 
 
-def clean_feed(
-    spark: SparkSession, path: str, feed: str, multi_line: bool = True, only_types: bool = False
-) -> DataFrame:
+def read_raw(spark: SparkSession, layout: Layout, feed: str, multi_line: bool | None = None) -> DataFrame:
+    """A raw feed, with line breaks inside quotes where the feed may have them, or as asked."""
+    breaks = civic.MULTI_LINE[feed] if multi_line is None else multi_line
+    return read_csv(spark, layout.raw(civic.RAW_FILES[feed]), civic.RAW_COLUMNS.get(feed), breaks)
+
+
+def clean_feed(raw: DataFrame, feed: str, only_types: bool = False) -> DataFrame:
     """One cleaned point feed. ``only_types`` keeps the four food-related 311 complaint types."""
-    raw = read_csv(spark, path, civic.RAW_COLUMNS[feed], multi_line)
     if only_types and feed == "complaints311":
         raw = keep_categories(raw, "complaint_type", civic.COMPLAINT_TYPES)
     return clean_events(raw, civic.clean_specs()[feed])
 
 
-def clean_rent(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def clean_rent(raw: DataFrame) -> DataFrame:
     """Latest known monthly rent per ZIP of the metropolitan area."""
-    raw = read_csv(spark, path, multi_line=multi_line)
     local = keep_region(
         raw, "City", civic.RENT_CITY, civic.RENT_PATTERN_COLUMNS, civic.RENT_PATTERN
     )
@@ -67,16 +69,16 @@ def clean_rent(spark: SparkSession, path: str, multi_line: bool = True) -> DataF
 
 
 def run_clean(
-    spark: SparkSession, layout: Layout, multi_line: bool = True, only_types: bool = False
+    spark: SparkSession, layout: Layout, multi_line: bool | None = None, only_types: bool = False
 ) -> dict[str, dict[str, int]]:
-    """Raw CSV to ``cleaned/*``; returns rows written per feed."""
+    """Raw CSV to ``cleaned/*``; returns rows read, written and dropped per feed."""
     counts = {}
-    for feed in civic.POINT_FEEDS:
-        path = layout.raw(civic.RAW_FILES[feed])
-        cleaned = clean_feed(spark, path, feed, multi_line, only_types)
-        counts[feed] = write_with_counts(cleaned, layout.cleaned(feed))
-    rent = clean_rent(spark, layout.raw(civic.RAW_FILES["rent"]), multi_line)
-    counts["rent"] = write_with_counts(rent, layout.cleaned("rent"))
+    for feed in [*civic.POINT_FEEDS, "rent"]:
+        raw, seen = count_rows(read_raw(spark, layout, feed, multi_line))
+        cleaned = clean_rent(raw) if feed == "rent" else clean_feed(raw, feed, only_types)
+        written = write_with_counts(cleaned, layout.cleaned(feed))["rows"]
+        rows_in = dict(seen.get)["rows"]
+        counts[feed] = {"rows_in": rows_in, "rows": written, "dropped": rows_in - written}
     return counts
 
 
@@ -91,8 +93,8 @@ def enrich_rent(rent: DataFrame, lookup: DataFrame) -> DataFrame:
 
 def run_enrich(
     spark: SparkSession, layout: Layout, per_line: bool = False, order_field: str | None = None
-) -> dict[str, dict[str, int]]:
-    """``cleaned/*`` to ``enriched/*`` and the ZIP lookup; returns rows and hits per feed."""
+) -> dict[str, dict[str, float]]:
+    """``cleaned/*`` to ``enriched/*`` and the ZIP lookup; returns rows, hits and their percentage per feed."""
     polygons = read_polygons(
         spark, layout.geo(civic.POLYGON_FILE), per_line=per_line, order_field=order_field
     )
@@ -106,7 +108,7 @@ def run_enrich(
             code="nta_code",
             name="nta_name",
         )
-        counts[feed] = write_with_counts(placed, layout.enriched(feed), hits=hits)
+        counts[feed] = _with_rate(write_with_counts(placed, layout.enriched(feed), hits=hits))
 
     restaurants = read_dataset(spark, layout.enriched("restaurants"))
     lookup = zip_to_area(restaurants, "ZIPCODE", "nta_code", "nta_name", pad=True)
@@ -115,10 +117,14 @@ def run_enrich(
     rent = enrich_rent(
         read_dataset(spark, layout.cleaned("rent")), read_lookup_csv(spark, lookup_path)
     )
-    counts["rent"] = write_with_counts(rent, layout.enriched("rent"), hits=hits)
+    counts["rent"] = _with_rate(write_with_counts(rent, layout.enriched("rent"), hits=hits))
     return counts
 
 
+def _with_rate(counts: dict[str, int]) -> dict[str, float]:
+    return counts | {"hit_pct": round(100 * counts["hits"] / max(counts["rows"], 1), 1)}
+
+
 # --- features ------------------------------------------------------------------------------
 
 
@@ -155,25 +161,35 @@ def area_features(
     )
 
 
-def run_features(spark: SparkSession, layout: Layout, fill_rates: bool = True) -> None:
-    """``enriched/*`` to the feature table."""
+def run_features(spark: SparkSession, layout: Layout, fill_rates: bool = True) -> dict[str, int]:
+    """``enriched/*`` to the feature table; returns areas and how many of them got a given rent.
+
+    Which ones those are is in the table, as a flag.
+    """
     inputs = [
         read_dataset(spark, layout.enriched(name))
         for name in ("crime", "restaurants", "complaints311", "rent")
     ]
     population = read_population(spark, layout.geo(civic.POPULATION_FILE))
     features = area_features(*inputs, population, fill_rates=fill_rates)
-    write_dataset(features, layout.scores(civic.FEATURES_TABLE))
+    imputed = F.count_if(civic.RENT_IMPUTED)
+    return write_with_counts(features, layout.scores(civic.FEATURES_TABLE), imputed=imputed)
 
 
 # --- score ---------------------------------------------------------------------------------
 
 
-def run_score(spark: SparkSession, layout: Layout) -> None:
-    """Feature table to score table."""
+def run_score(spark: SparkSession, layout: Layout) -> dict[str, int]:
+    """Feature table to score table, and the best, worst and unscored areas; returns areas and how many have none."""
+    spec = civic.SCORE_SPEC
     features = read_dataset(spark, layout.scores(civic.FEATURES_TABLE))
-    scored = score_areas(features, civic.SCORE_SPEC)
-    write_single_file(scored, layout.scores(civic.SCORES_TABLE))
+    path = layout.scores(civic.SCORES_TABLE)
+    write_single_file(score_areas(features, spec), path)
+    scored = read_dataset(spark, path)
+    diagnostics = score_diagnostics(scored, civic.AREA_CODE, spec.composite, spec.available)
+    write_single_file(diagnostics, layout.scores(civic.DIAGNOSTICS_TABLE))
+    counted = scored.agg(F.count(F.lit(1)), F.count_if(~F.col(spec.available))).first()
+    return {"rows": counted[0], "unscored": counted[1]}
 
 
 # --- analytics -----------------------------------------------------------------------------
@@ -181,38 +197,37 @@ def run_score(spark: SparkSession, layout: Layout) -> None:
 
 def result_tables(scored: DataFrame) -> dict[str, Callable[[], DataFrame]]:
     """Result table name -> function that plans it. ``scored`` should be a stored table."""
-    spark = scored.sparkSession
-    grouped = feature_ops.add_group(scored, "nta_code", civic.BOROUGHS, "borough")
-    metadata = summaries.metric_table(spark, civic.METRICS)
+    code, name, group = civic.AREA_CODE, civic.AREA_NAME, civic.AREA_GROUP
+    ids = [code, name, group]
+    grouped = feature_ops.add_group(scored, code, civic.BOROUGHS, group)
+    metadata = summaries.metric_table(scored.sparkSession, civic.METRICS)
     directions = metadata.select("metric", "higher_is_better")
-    long = long_metrics(
-        grouped, ["nta_code", "nta_name", "borough"], summaries.metric_map(civic.METRICS)
-    )
+    long = long_metrics(grouped, ids, summaries.metric_map(civic.METRICS))
     inputs = list(civic.SCORE_SPEC.directions)
-    rent = "median_rent_zori"
-    points = summaries.xy_points(
-        grouped, [c for c in inputs if c != rent], rent, ["nta_code", "nta_name", "borough"]
-    )
-    return {
-        "summary": lambda: summaries.metric_summary(long, metadata, count="n_ntas"),
-        "distribution": lambda: summaries.histogram(long),
-        "top_bottom": lambda: top_bottom(
-            long.drop("borough"), directions, ["nta_code", "nta_name"]
-        ),
-        "borough_box": lambda: summaries.box_stats(long, "borough"),
-        "borough_points": lambda: long.select("metric", "borough", "nta_name", "value"),
+    points = summaries.xy_points(grouped, [c for c in inputs if c != civic.RENT], civic.RENT, ids)
+    plans = {
+        "summary": lambda: summaries.metric_summary(long, metadata, count=civic.AREA_COUNT),
+        "histogram": lambda: summaries.histogram(long),
+        "top_bottom": lambda: top_bottom(long.drop(group), directions, [code, name]),
+        "boxes": lambda: summaries.box_stats(long, group),
+        "box_points": lambda: long.select("metric", group, name, "value"),
         "correlation": lambda: summaries.correlation_matrix(grouped, inputs),
-        "rent_vs_feature_bins": lambda: summaries.decile_bins(points, "nta_code", count="n_ntas"),
-        "rent_vs_feature_ols": lambda: summaries.ols_fit(points),
-        "rent_vs_feature_points": lambda: points.select("feature", "nta_name", "borough", "x", "y"),
+        "bins": lambda: summaries.decile_bins(points, code, count=civic.AREA_COUNT),
+        "fits": lambda: summaries.ols_fit(points),
+        "points": lambda: points.select("feature", name, group, "x", "y"),
     }
+    return {civic.RESULT_TABLES[kind]: plan for kind, plan in plans.items()}
 
 
-def run_analytics(spark: SparkSession, layout: Layout) -> None:
-    """Score table to nine result tables."""
+def run_analytics(spark: SparkSession, layout: Layout) -> dict[str, int]:
+    """Score table to nine result tables; returns the rows of each."""
     scored = read_dataset(spark, layout.scores(civic.SCORES_TABLE))
+    counts = {}
     for name, plan in result_tables(scored).items():
-        write_single_file(plan(), layout.analytics(f"{name}.parquet"))
+        table, seen = count_rows(plan())
+        write_single_file(table, layout.analytics(f"{name}.parquet"))
+        counts[name] = dict(seen.get)["rows"]
+    return counts
 
 
 def run_all(spark: SparkSession, layout: Layout) -> None:

@@ -65,6 +65,12 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
+def count_rows(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df``, and an observation of its rows that is filled by whatever write reads ``df`` whole."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
 def write_with_counts(df: DataFrame, path: str, **counts: Column) -> dict[str, int]:
     """Overwrite a parquet directory and return aggregates of the rows written.
 

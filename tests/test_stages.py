@@ -11,6 +11,7 @@ import pytest
 from test_spatial import brute_force, square
 
 from areascore.plans import civic, stages
+from areascore.scratch import release
 from areascore.sources import Layout
 
 PREFIXES = ["MN", "BK", "QN", "BX", "SI", "ZZ"]
@@ -180,12 +181,14 @@ def close(a, b):
 
 def test_counts(spark, run):
     layout, cleaned, enriched, _ = run
-    assert cleaned["rent"] == {"rows": 3}
+    assert cleaned["rent"]["rows"] == 3
+    assert all(c["rows_in"] == c["rows"] + c["dropped"] for c in cleaned.values())
+    assert any(c["dropped"] > 0 for c in cleaned.values())
     for feed in civic.POINT_FEEDS:
         table = spark.read.parquet(layout.enriched(feed))
         assert cleaned[feed]["rows"] == enriched[feed]["rows"] == table.count()
         assert enriched[feed]["hits"] == table.filter("nta_code IS NOT NULL").count() > 0
-    assert enriched["rent"] == {"rows": 3, "hits": 3}
+    assert enriched["rent"] == {"rows": 3, "hits": 3, "hit_pct": 100.0}
 
 
 def test_cleaned_schema(spark, run):
@@ -267,7 +270,24 @@ def test_result_tables(spark, run):
     assert boroughs <= {*civic.BOROUGHS.values(), "Other"} and "Other" in boroughs
 
 
-def test_command_line_lists_stages(capsys):
+def test_command_line(spark, tmp_path, capsys):
+    """Two stages with options; the shared folder is empty afterwards."""
+    import os
+
     from areascore import __main__ as cli
 
     assert list(cli.STAGES) == ["clean", "enrich", "features", "score", "analytics"]
+    generate(tmp_path)
+    release(spark)
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    cli.main([str(tmp_path), "clean", "enrich", "--only-types"])
+    cli.main([str(tmp_path), "features", "score", "--no-fill-rates"])
+    out = capsys.readouterr().out
+    assert "rows_in" in out and "hit_pct" in out and "imputed" in out and "unscored" in out
+    assert set(os.listdir(shared)) == before
+    layout = Layout(str(tmp_path))
+    kinds = {row[0] for row in spark.read.parquet(layout.scores(civic.DIAGNOSTICS_TABLE)).select("kind").collect()}
+    assert kinds >= {"top", "bottom"}
+    types = {row[0] for row in spark.read.parquet(layout.cleaned("complaints311")).select("COMPLAINT_TYPE").collect()}
+    assert types <= {name.upper() for name in civic.COMPLAINT_TYPES}
