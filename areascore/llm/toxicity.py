@@ -9,8 +9,10 @@ of segment scores in other documents is an extreme-value law whose rate is solve
 themselves; the significant segments of a text add up to one p-value, which a logistic curve over the
 labelled rows turns into a probability.
 
-Scale: token counts leave each Arrow batch already summed. What reaches the driver is the lexicon,
-whose size is a parameter, and a histogram of the evidence; texts are read twice, never moved.
+Scale: the fit uses at most ``FIT_ROWS`` labelled rows, so their ids and labels are small enough to
+send to every task, and texts are read where they lie, twice, and never moved. Token counts leave each
+Arrow batch already summed. What reaches the driver is the lexicon, whose size is a parameter, and a
+histogram of the evidence.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from areascore.llm.batches import Kept, held_out, map_batches, slices, texts
 from areascore.llm.calibration import fit_logistic, logistic
 from areascore.llm.words import IS_LETTER, LOWER, Words, distinct_pairs
 
+FIT_ROWS = 50_000
 LEXICON_TOKENS = 1 << 16
 PRIOR_TOKENS = 1000.0
 LEAST_Z = 3.0
@@ -195,16 +198,20 @@ def scan(docs: DataFrame, model: Lexicon) -> DataFrame:
     return map_batches(texts(docs), schema, work)
 
 
-def toxicity_scores(docs: DataFrame, label_rows: DataFrame) -> DataFrame:
+def toxicity_scores(docs: DataFrame, label_rows: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """doc_id, held_out, score, predicted, n_passages and passages of every row of ``docs``.
 
-    Learns from ``toxic`` of the labels whose crc32(doc_id) mod 5 is not 0. Null and empty texts have no
+    Learns from ``toxic`` of the labels whose crc32(doc_id) mod 5 is not 0, of the ``fit_rows`` first by a
+    hash of the doc_id if there are more. Null and empty texts have no
     evidence and get the score of no evidence. Without labels of both classes there is no lexicon and
     every score is 0. Repeated rows are scored each; a label row given twice counts twice.
     """
     keep = Kept(docs.sparkSession)
     known = label_rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("label"))
     known = known.filter("label in (0, 1) and doc_id is not null").filter(~held_out())
+    # At most fit_rows rows of two numbers: bounded, whatever the labels are.
+    known = keep(known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(fit_rows), "known")
+    known = F.broadcast(known)
     source = texts(docs)
     model = fit_lexicon(source.join(known, "doc_id").select("text", "label"), keep)
     scanned = keep(scan(source, model), "passages")
