@@ -10,19 +10,33 @@ BINS = 400
 
 
 def _newton(x: np.ndarray, y1: np.ndarray, y0: np.ndarray) -> tuple[float, float]:
-    """Intercept and slope of P(1 | x) from counts at each x, by damped Newton steps with a weak ridge."""
-    beta = np.array([0.0, 0.1])
-    design = np.column_stack([np.ones_like(x), x])
+    """Intercept and slope of P(1 | x) from counts at each x: Newton steps, halved until they help.
+
+    A weak ridge on standardised x keeps the slope finite where the labels can be told apart.
+    """
     n = y1 + y0
+    centre = (n @ x) / n.sum()
+    scale = max(float(np.sqrt(n @ (x - centre) ** 2 / n.sum())), 1e-9)
+    design = np.column_stack([np.ones_like(x), (x - centre) / scale])
+    ridge = np.array([1e-6, 0.05])
+
+    def loss(beta: np.ndarray) -> float:
+        z = design @ beta
+        return float(n @ np.logaddexp(0, z) - y1 @ z + 0.5 * ridge @ beta**2)
+
+    beta = np.zeros(2)
     for _ in range(200):
-        p = 1 / (1 + np.exp(-np.clip(design @ beta, -30, 30)))
-        gradient = design.T @ (y1 - n * p) - 1e-2 * beta
-        hessian = (design * (n * p * (1 - p))[:, None]).T @ design + 1e-2 * np.eye(2)
-        step = np.clip(np.linalg.solve(hessian, gradient), -1, 1)
-        beta = beta + step
-        if np.abs(step).max() < 1e-9:
+        p = 1 / (1 + np.exp(-np.clip(design @ beta, -500, 500)))
+        gradient = design.T @ (n * p - y1) + ridge * beta
+        hessian = (design * (n * p * (1 - p))[:, None]).T @ design + np.diag(ridge)
+        step = np.linalg.solve(hessian, gradient)
+        size, before = 1.0, loss(beta)
+        while size > 1e-8 and loss(beta - size * step) > before:
+            size /= 2
+        beta = beta - size * step
+        if np.abs(size * step).max() < 1e-9:
             break
-    return float(beta[0]), float(beta[1])
+    return float(beta[0] - beta[1] * centre / scale), float(beta[1] / scale)
 
 
 def fit_logistic(rows: DataFrame, x: str, label: str, width: float = 0.1) -> tuple[float, float] | None:

@@ -3,7 +3,8 @@
 Each token has a log-odds score: toxic against other labelled documents, each document counting a
 token once so that a text which repeats itself has no more say, under an informative Dirichlet
 prior (half a document, and more for frequent tokens). Tokens whose log-odds are
-significant form the lexicon; any other token counts a little against. One linear scan finds all
+significant form the lexicon; any other token counts a little against. A word that is not in it scores
+as its beginning does, so inflected forms too rare to be learned one by one are known by their stem. One linear scan finds all
 maximal segments of a text (disjoint, none can be made better by growing or shrinking it). The tail
 of segment scores in other documents is an extreme-value law whose rate is solved from the scores
 themselves; the significant segments of a text add up to one p-value, which a logistic curve over the
@@ -32,9 +33,12 @@ from areascore.llm.words import IS_LETTER, LOWER, Words, distinct_pairs
 FIT_ROWS = 50_000
 LEXICON_TOKENS = 1 << 16
 PRIOR_TOKENS = 1000.0
-LEAST_Z = 3.0
+LEAST_Z = 5.0
+LEAST_SHARE = 0.02  # of the toxic documents that a token of the lexicon is in
 DENSITY = 0.1  # share of lexicon tokens expected inside a toxic passage
 THRESHOLD = 0.5
+STEM = 4  # bytes
+_STEM_SALT = np.uint64(0x5851F42D4C957F2D)
 
 
 @dataclass
@@ -46,9 +50,14 @@ class Lexicon:
     other: float
     rate: float
     constant: float
+    stem: int = STEM
 
-    def token_scores(self, hashes: np.ndarray) -> np.ndarray:
-        """Positive at lexicon tokens, else zero."""
+    def word_scores(self, words: np.ndarray, stems: np.ndarray) -> np.ndarray:
+        """Score of each word or else of its stem; zero where neither is in the lexicon."""
+        own = self._scores(words)
+        return np.where(own > 0, own, self._scores(stems))
+
+    def _scores(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.hashes):
             return np.zeros(len(hashes))
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
@@ -80,19 +89,22 @@ def maximal_segments(positions: np.ndarray, scores: np.ndarray, other: float) ->
     return [(a, b, after - before) for a, b, before, after in stack]
 
 
-def _tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[Words, np.ndarray]:
+def _tokens(data: np.ndarray, offsets: np.ndarray, stem: int) -> tuple[Words, np.ndarray, np.ndarray]:
+    """The words, their hashes and those of their stems; a word no longer than a stem is its own stem."""
     words = Words(data, offsets, ~IS_LETTER)
-    return words, words.hashes(LOWER)
+    ends = np.minimum(words.ends, words.starts + stem)
+    return words, words.hashes(LOWER), Words.of(data, words.starts, ends).hashes(LOWER) ^ _STEM_SALT
 
 
-def _token_counts(labelled: DataFrame) -> DataFrame:
+def _token_counts(labelled: DataFrame, stem: int) -> DataFrame:
     """token and the rows of (text, label) it is in, n_toxic and n_other; summed in each batch first."""
 
     def work(batch: pa.RecordBatch):
         found, label = [], []
         for part, data, offsets in slices(batch):
-            words, hashes = _tokens(data, offsets)
-            hashes, rows = distinct_pairs(hashes, words.rows())
+            words, hashes, stems = _tokens(data, offsets, stem)
+            rows = words.rows()
+            hashes, rows = distinct_pairs(np.concatenate([hashes, stems]), np.concatenate([rows, rows]))
             found.append(hashes)
             label.append(part.column("label").to_numpy(zero_copy_only=False)[rows])
         if found:
@@ -117,25 +129,30 @@ def _rate(shares: np.ndarray, scores: np.ndarray) -> float:
     return high
 
 
-def fit_lexicon(labelled: DataFrame, keep: Kept, most: int = LEXICON_TOKENS, least_z: float = LEAST_Z) -> Lexicon:
-    """From rows of (text, label 0 or 1).
+def fit_lexicon(
+    labelled: DataFrame, keep: Kept, least_rows: float, most: int = LEXICON_TOKENS, least_z: float = LEAST_Z, stem: int = STEM
+) -> Lexicon:
+    """From rows of (text, label 0 or 1); a token must be in ``least_rows`` toxic ones at least.
 
     ``most`` bounds the lexicon, which every task gets, to its most significant tokens.
     """
-    counts = keep(_token_counts(labelled), "tokens")
+    counts = keep(_token_counts(labelled, stem), "tokens")
     n1, n0 = counts.agg(F.sum("n_toxic"), F.sum("n_other")).first()
     n1, n0 = n1 or 0, n0 or 0
     if not n1 or not n0:
-        return Lexicon(np.zeros(0, dtype=np.uint64), np.zeros(0), math.log1p(-DENSITY), 1.0, 1.0)
+        return Lexicon(np.zeros(0, dtype=np.uint64), np.zeros(0), math.log1p(-DENSITY), 1.0, 1.0, stem)
     y1, y0 = F.col("n_toxic"), F.col("n_other")
     prior = 0.5 + PRIOR_TOKENS * (y1 + y0) / F.lit(float(n1 + n0))
     odds = F.log((y1 + prior) / (n1 + PRIOR_TOKENS - y1 - prior)) - F.log(
         (y0 + prior) / (n0 + PRIOR_TOKENS - y0 - prior)
     )
-    z = odds / F.sqrt(1 / (y1 + prior) + 1 / (y0 + prior))
+    # Signed root of the likelihood ratio against equal frequency in both classes.
+    share = F.lit(n1 / (n1 + n0))
+    gain = y1 * F.log((y1 + 1e-9) / ((y1 + y0) * share)) + y0 * F.log((y0 + 1e-9) / ((y1 + y0) * (1 - share)))
+    z = F.sqrt(2 * F.greatest(gain, F.lit(0.0)))
     top = (
-        counts.select("token", "n_other", odds.alias("odds"), z.alias("z"))
-        .filter((F.col("z") >= least_z) & (F.col("odds") > 0))
+        counts.select("token", "n_toxic", "n_other", odds.alias("odds"), z.alias("z"))
+        .filter((F.col("z") >= least_z) & (F.col("odds") > 0) & (F.col("n_toxic") >= least_rows))
         .orderBy(F.desc("z"), "token")
         .limit(most)
         .collect()
@@ -152,7 +169,7 @@ def fit_lexicon(labelled: DataFrame, keep: Kept, most: int = LEXICON_TOKENS, lea
         rate = _rate(every, each) if float(every @ each) < 0 else 1.0
     # For scores with steps, the constant lies near the share of positions where a segment starts.
     constant = min(max(float(shares.sum()), 1e-6), 1.0)
-    return Lexicon(hashes[order], scores[order], other, rate, constant)
+    return Lexicon(hashes[order], scores[order], other, rate, constant, stem)
 
 
 def _evidence(segments: list[tuple[int, int, float]], n_tokens: int, model: Lexicon) -> tuple[float, list]:
@@ -172,8 +189,8 @@ def scan(docs: DataFrame, model: Lexicon) -> DataFrame:
 
     def work(batch: pa.RecordBatch):
         for part, data, offsets in slices(batch):
-            words, hashes = _tokens(data, offsets)
-            scores = model.token_scores(hashes)
+            words, hashes, stems = _tokens(data, offsets, model.stem)
+            scores = model.word_scores(hashes, stems)
             at = np.flatnonzero(scores)
             cuts = np.searchsorted(at, words.first)
             evidence, passages = np.zeros(part.num_rows), []
@@ -198,7 +215,10 @@ def scan(docs: DataFrame, model: Lexicon) -> DataFrame:
     return map_batches(texts(docs), schema, work)
 
 
-def toxicity_scores(docs: DataFrame, label_rows: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
+def toxicity_scores(
+    docs: DataFrame, label_rows: DataFrame, fit_rows: int = FIT_ROWS, least_z: float = LEAST_Z,
+    least_share: float = LEAST_SHARE, stem: int = STEM,
+) -> DataFrame:
     """doc_id, held_out, score, predicted, n_passages and passages of every row of ``docs``.
 
     Learns from ``toxic`` of the labels whose crc32(doc_id) mod 5 is not 0, of the ``fit_rows`` first by a
@@ -213,7 +233,12 @@ def toxicity_scores(docs: DataFrame, label_rows: DataFrame, fit_rows: int = FIT_
     known = keep(known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(fit_rows), "known")
     known = F.broadcast(known)
     source = texts(docs)
-    model = fit_lexicon(source.join(known, "doc_id").select("text", "label"), keep)
+    # Copies of a text would count its words again and again: one row of each stands for all.
+    once = source.join(known, "doc_id").select("doc_id", "label", F.xxhash64("text").alias("copy"))
+    once = keep(once.groupBy("copy", "label").agg(F.min("doc_id").alias("doc_id")), "once").select("doc_id", "label")
+    toxic = once.filter("label = 1").count()
+    labelled = source.join(F.broadcast(once), "doc_id").select("text", "label")
+    model = fit_lexicon(labelled, keep, least_share * toxic, least_z=least_z, stem=stem)
     scanned = keep(scan(source, model), "passages")
     scanned = scanned.withColumn("root", F.sqrt("evidence"))
     curve = fit_logistic(scanned.join(known, "doc_id"), "root", "label") if len(model.hashes) else None
