@@ -13,12 +13,14 @@ enough. Before all that, documents leave the buckets in which they cannot have a
 other candidate has bound their similarity with every other. So no pair is skipped for the size of its
 bucket.
 
-With 25 bands of 5 minima a pair at similarity 0.85 shares no bucket once in two million times.
+There are as many bands of 5 minima as it takes for a pair at the threshold to share no bucket once in two
+million times: 25 at 0.85, 37 at 0.80.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,15 +33,25 @@ from areascore.llm.components import connected_components
 from areascore.llm.words import LOWER, Words, windows
 
 WIDTH = 5
-BANDS, ROWS = 25, 5
+ROWS = 5
+MISSED = 4.4e-7  # share of the pairs at the threshold that share no bucket
 PERCENT = 85
 SMALL_BUCKET = 32
 HUBS = 4
 SIGNATURE_SLACK = 5.0  # standard deviations below the threshold at which signatures rule a pair out
 
-_random = np.random.Generator(np.random.PCG64(77))
-_FACTORS = _random.integers(0, 1 << 63, size=(BANDS * ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_SHIFTS = _random.integers(0, 1 << 63, size=(BANDS * ROWS, 1), dtype=np.uint64)
+
+def n_bands(percent: int) -> int:
+    """Bands after which at most ``MISSED`` of the pairs at the threshold share no bucket."""
+    share = min(percent, 99) / 100
+    return math.ceil(math.log(MISSED) / math.log1p(-(share**ROWS)))
+
+
+def _hashes(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Factors and shifts of ``n`` multiply-shift hashes."""
+    random = np.random.Generator(np.random.PCG64(77))
+    factors = random.integers(0, 1 << 63, size=(n, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return factors, random.integers(0, 1 << 63, size=(n, 1), dtype=np.uint64)
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> Iterator[np.ndarray]:
@@ -56,43 +68,47 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int = WIDTH) -> I
             yield hashes[:0]
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
+def signature(shingles: np.ndarray, factors: np.ndarray, shifts: np.ndarray) -> np.ndarray:
     """Minima of multiply-shift hashes, as 32-bit integers."""
-    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, dtype=np.uint64)
+    least = np.full(len(factors), np.iinfo(np.uint64).max, dtype=np.uint64)
     for at in range(0, len(shingles), 256):
-        np.minimum(least, (shingles[at : at + 256] * _FACTORS + _SHIFTS).min(axis=1), out=least)
+        np.minimum(least, (shingles[at : at + 256] * factors + shifts).min(axis=1), out=least)
     return (least >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def _sketches(docs: DataFrame) -> DataFrame:
+def _sketches(docs: DataFrame, n_minima: int) -> DataFrame:
+    factors, shifts = _hashes(n_minima)
+
     def work(batch: pa.RecordBatch):
         for part, data, offsets in slices(batch):
             sizes, digests, signatures = [], [], []
             for s in shingle_sets(data, offsets):
                 sizes.append(len(s))
                 digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
-                signatures.append(signature(s))
+                signatures.append(signature(s, factors, shifts))
             yield {
                 "doc_id": part.column("doc_id"),
                 "n_shingles": np.array(sizes, dtype=np.int64),
                 "digest": pa.array(digests, pa.binary()),
-                "minima": lists(np.concatenate(signatures), np.full(len(sizes), len(_FACTORS)), pa.int32()),
+                "minima": lists(np.concatenate(signatures), np.full(len(sizes), n_minima), pa.int32()),
             }
 
     return map_batches(texts(docs), "doc_id long, n_shingles long, digest binary, minima array<int>", work)
 
 
-def _full_sets(docs: DataFrame) -> DataFrame:
+def _full_sets(docs: DataFrame, n_minima: int) -> DataFrame:
+    factors, shifts = _hashes(n_minima)
+
     def work(batch: pa.RecordBatch):
         for part, data, offsets in slices(batch):
             sets = list(shingle_sets(data, offsets))
             sizes = np.array([len(s) for s in sets], dtype=np.int64)
-            minima = np.concatenate([signature(s) for s in sets])
+            minima = np.concatenate([signature(s, factors, shifts) for s in sets])
             yield {
                 "id": part.column("doc_id"),
                 "n": sizes,
                 "shingles": lists(np.concatenate(sets).view(np.int64), sizes, pa.int64()),
-                "minima": lists(minima, np.full(len(sizes), len(_FACTORS)), pa.int32()),
+                "minima": lists(minima, np.full(len(sizes), n_minima), pa.int32()),
             }
 
     return map_batches(docs, "id long, n long, shingles array<long>, minima array<int>", work)
@@ -100,8 +116,8 @@ def _full_sets(docs: DataFrame) -> DataFrame:
 
 def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose sets are similar enough: first by signature, then exactly."""
-    share = percent / 100
-    least = (share - SIGNATURE_SLACK * (share * (1 - share) / len(_FACTORS)) ** 0.5) * len(_FACTORS)
+    share, n_minima = percent / 100, n_bands(percent) * ROWS
+    least = (share - SIGNATURE_SLACK * (share * (1 - share) / n_minima) ** 0.5) * n_minima
 
     def side(name: str) -> DataFrame:
         return sets.select(
@@ -114,7 +130,7 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             return c.values.to_numpy(), c.offsets.to_numpy()
 
         (a, at_a), (b, at_b) = column("a_set"), column("b_set")
-        x, y = (batch.column(c).flatten().to_numpy().reshape(-1, len(_FACTORS)) for c in ("a_minima", "b_minima"))
+        x, y = (batch.column(c).flatten().to_numpy().reshape(-1, n_minima) for c in ("a_minima", "b_minima"))
         likely = (x == y).sum(axis=1) >= least
         linked = np.zeros(batch.num_rows, dtype=bool)
         for row in np.flatnonzero(likely).tolist():
@@ -209,17 +225,18 @@ def near_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """
     keep = Kept(docs.sparkSession)
     source = texts(docs)
-    sketches = keep(_sketches(source), "sketches")
+    n = n_bands(percent)
+    sketches = keep(_sketches(source, n * ROWS), "sketches")
     full = sketches.filter("n_shingles > 0")
     classes = keep(full.groupBy("digest").agg(F.min("doc_id").alias("id")), "classes")
     first = full.join(classes.select(F.col("id").alias("doc_id")), "doc_id", "left_semi")
-    band = [F.xxhash64(F.lit(b), *[F.col("minima")[b * ROWS + r] for r in range(ROWS)]) for b in range(BANDS)]
+    band = [F.xxhash64(F.lit(b), *[F.col("minima")[b * ROWS + r] for r in range(ROWS)]) for b in range(n)]
     bands = first.select(F.col("doc_id").alias("id"), F.explode(F.array(*band)).alias("key")).distinct()
     bands = keep(bands, "bands")
     shared = keep(bands.groupBy("key").agg(F.count("*").alias("k")).filter("k > 1").select("key"), "buckets")
     bands = keep(bands.join(shared, "key"), "bands")
     wanted = bands.select(F.col("id").alias("doc_id")).distinct()
-    sets = keep(_full_sets(source.join(wanted, "doc_id", "left_semi")).dropDuplicates(["id"]), "sets")
+    sets = keep(_full_sets(source.join(wanted, "doc_id", "left_semi"), n * ROWS).dropDuplicates(["id"]), "sets")
     found = _links(_candidates(bands, sets, keep, percent), sets, keep, percent)
     named = sketches.select("doc_id", "n_shingles", "digest").join(classes, "digest", "left")
     named = named.withColumn("id", F.when(F.col("n_shingles") > 0, F.col("id")).otherwise(F.col("doc_id")))

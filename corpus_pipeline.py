@@ -14,6 +14,10 @@ from areascore.llm import line_windows, minhash, packing, quality, relative_lz
 from areascore.llm.batches import Kept, documents, labels, unused
 
 
+#: Similarity of word shingles from which the near-duplicate stage drops a document; op4 has its own.
+NEAR_PERCENT = 80
+
+
 def _only(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose doc_id is among ``chosen``."""
     key = unused(docs, "chosen_doc_id")
@@ -51,7 +55,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates, that of the smallest doc_id."""
-    return _only(docs, minhash.near_dedup(docs).filter("kept"))
+    return _only(docs, minhash.near_dedup(docs, percent=NEAR_PERCENT).filter("kept"))
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

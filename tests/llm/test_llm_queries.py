@@ -2,11 +2,11 @@
 
 import brute
 import pytest
-from cases import none, odd  # noqa: F401
+from cases import frame, none, odd  # noqa: F401
 from compare import connect, difference
 
 import corpus_pipeline
-from areascore.llm import quality
+from areascore.llm import minhash, quality
 from areascore.llm.batches import documents, labels
 from areascore.llm.queries import QUERIES, SQL
 from areascore.scratch import release
@@ -72,6 +72,48 @@ def test_pipeline_by_brute_force(spark):
     assert max(filled.values()) <= 2048
 
 
+def test_pipeline_by_brute_force_at_080(spark):
+    docs = {r.doc_id: r.text for r in documents(spark, SF_DIR).collect()}
+    scored = quality.quality_scores(documents(spark, SF_DIR), labels(spark, SF_DIR))
+    good = [(r.doc_id, docs[r.doc_id]) for r in scored.collect() if r.predicted == 1]
+    lines = brute.lines_left(good)
+    left = [(d, lines[d][2]) for d, t in good if not lines[d][1] or brute.words(lines[d][2])]
+    near = brute.near_groups(left, 80)
+    firsts = [(d, t) for d, t in left if near[d][2]]
+    words = brute.without_windows(firsts, brute.words, 20)
+    stages = spark_stages(spark)
+    assert {r.doc_id: r.text for r in stages[2].collect()} == dict(firsts)
+    assert {r.doc_id: brute.words(r.text) for r in stages[3].collect()} == {
+        d: [x for x, gone in p if not gone] for d, p in words.items()
+    }
+    placed = {}
+    for r in stages[4].collect():
+        placed[r.doc_id] = placed.get(r.doc_id, 0) + r.n_words
+    assert placed == {d: n for d, p in words.items() if (n := sum(not gone for _, gone in p))}
+
+
+def test_near_copies_from_080_up_leave_the_pipeline(spark):
+    docs = []
+    for i in range(40):
+        base = [f"d{i}w{j}" for j in range(400)]
+        docs.append((2 * i, " ".join(base)))
+        changed = list(base)
+        for at in range(20, 20 + 47 * (i % 8 + 1), 47):  # 1 to 8 changed words, five shingles each
+            changed[at] = "edited"
+        docs.append((2 * i + 1, " ".join(changed)))
+    near = brute.near_groups(docs, 80)
+    assert near != brute.near_groups(docs, 85)
+    got = corpus_pipeline.drop_near_copies(spark, frame(spark, docs), SF_DIR)
+    assert sorted(r.doc_id for r in got.collect()) == sorted(d for d, n in near.items() if n[2])
+    assert {r[0]: tuple(r[1:]) for r in minhash.near_dedup(frame(spark, docs)).collect()} == brute.near_groups(docs)
+
+
+@pytest.mark.parametrize("percent,bands", [(85, 25), (80, 37)])
+def test_bands_follow_the_threshold(percent, bands):
+    assert minhash.n_bands(percent) == bands
+    assert (1 - (percent / 100) ** minhash.ROWS) ** bands < 1 / 2_000_000
+
+
 def spark_stages(spark):
     from areascore.llm.batches import Kept
 
