@@ -64,8 +64,8 @@ def _whole(first: np.ndarray, window: int, n: int) -> np.ndarray:
 
 
 def _survey(docs: DataFrame, window: int, anchor: int) -> DataFrame:
-    """A row a document: size, digests, the anchors that it stands for in its batch, and all of its anchors
-    that the batch has several times."""
+    """A row a document: size, digests, the anchors that it stands for in its batch, whether the batch has
+    each of those several times, and all of its anchors that the batch has several times."""
 
     def work(batch: pa.RecordBatch):
         ids = batch.column("doc_id")
@@ -109,10 +109,14 @@ def _survey(docs: DataFrame, window: int, anchor: int) -> DataFrame:
             "digest": pa.array(digests, pa.binary()),
             "whole_sha256": shas,
             "once": lists(gram[chosen].view(np.int64), count(chosen), pa.int64()),
+            "more": lists(several[chosen], count(chosen), pa.bool_()),
             "again": lists(gram[several].view(np.int64), count(several), pa.int64()),
         }
 
-    schema = "doc_id long, n_words long, digest binary, whole_sha256 string, once array<long>, again array<long>"
+    schema = (
+        "doc_id long, n_words long, digest binary, whole_sha256 string, once array<long>, more array<boolean>, "
+        "again array<long>"
+    )
     return map_batches(docs, schema, work)
 
 
@@ -351,9 +355,16 @@ def parse(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFr
     classes = keep(long.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("k")), "classes")
     copies = long.select("doc_id", "digest").join(classes.filter("k > 1"), "digest").filter("doc_id > first_id")
     copies = keep(copies.select("doc_id", "first_id").distinct(), "copies")
+    # A copy may be what stands for an anchor in its batch, so it counts here, as the document it repeats. With
+    # ``more``, its batch has the anchor in another document, or in another place, too.
+    each = long.join(copies, "doc_id", "left").select(
+        "doc_id", F.col("first_id").isNull().alias("first"), F.coalesce("first_id", "doc_id").alias("text_id"),
+        F.inline(F.arrays_zip("once", "more")).alias("anchor", "more"),
+    )
+    same = Window.partitionBy("anchor")
+    several = F.max("more").over(same) | (F.min("text_id").over(same) < F.max("text_id").over(same))
+    shared = each.withColumn("several", several).filter("several and first")
     firsts = long.join(copies.select("doc_id"), "doc_id", "left_anti")
-    once = firsts.select("doc_id", F.explode("once").alias("anchor"))
-    shared = once.withColumn("k", F.count("*").over(Window.partitionBy("anchor"))).filter("k > 1")
     again = firsts.filter(F.size("again") > 0).select("doc_id", F.col("again").alias("marks"))
     marks = shared.groupBy("doc_id").agg(F.collect_list("anchor").alias("marks")).unionAll(again)
     marks = keep(marks.groupBy("doc_id").agg(F.flatten(F.collect_list("marks")).alias("marks")), "marks")

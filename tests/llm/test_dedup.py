@@ -87,6 +87,30 @@ def test_substring_dedup(documents_frame, corpus):
     assert as_dict(got.drop("factors")) == brute.words_left(corpus)
 
 
+@pytest.mark.parametrize("alone", [50, 1])
+def test_substring_dedup_where_copies_stand_for_an_anchor(spark, alone):
+    """Each partition is one Arrow batch, whose first row in order stands for the anchors of the passage."""
+    passage = " ".join(f"p{i}" for i in range(30))
+    z, w, x = (f"{' '.join(c + str(i) for i in range(25))} {passage} end{c}" for c in "zwx")
+    batches = [[(30, z), (5, w)], [(20, w), (3, z)], [(alone, x)]]
+    parts = spark.sparkContext.parallelize([r for b in batches for r in b], 1).zipWithIndex()
+    at = [i for i, b in enumerate(batches) for _ in b]
+    dealt = parts.map(lambda r: (at[r[1]], r[0])).partitionBy(3, lambda k: k).values()
+    docs = [r for b in batches for r in b]
+    got = relative_lz.parse(spark.createDataFrame(dealt, "doc_id long, text string"))
+    assert as_dict(got.drop("factors")) == brute.words_left(docs)
+
+
+def test_substring_dedup_where_one_text_stands_everywhere(spark):
+    passage = " ".join(f"p{i}" for i in range(30))
+    z, w = (f"{' '.join(c + str(i) for i in range(25))} {passage} end{c}" for c in "zw")
+    docs = [(30, z), (5, w), (3, z)]
+    dealt = spark.sparkContext.parallelize([(0, docs[0]), (0, docs[1]), (1, docs[2])], 1)
+    dealt = dealt.partitionBy(2, lambda k: k).values()
+    got = relative_lz.parse(spark.createDataFrame(dealt, "doc_id long, text string"))
+    assert as_dict(got.drop("factors")) == brute.words_left(docs)
+
+
 def test_factors_are_copies_of_earlier_places(documents_frame, corpus):
     words = {d: brute.words(t) for d, t in corpus}
     parsed = relative_lz.parse(documents_frame).filter("n_removed > 0").collect()
