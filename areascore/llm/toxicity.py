@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from areascore.llm import minhash
 from areascore.llm.batches import Kept, held_out, map_batches, slices, texts
 from areascore.llm.calibration import fit_logistic, logistic
 from areascore.llm.words import IS_LETTER, LOWER, Words, distinct_pairs
@@ -34,7 +35,7 @@ FIT_ROWS = 50_000
 LEXICON_TOKENS = 1 << 16
 PRIOR_TOKENS = 1000.0
 LEAST_Z = 5.0
-LEAST_SHARE = 0.02  # of the toxic documents that a token of the lexicon is in
+NEAR_PERCENT = 80  # similarity of copies, of which the fit takes one
 DENSITY = 0.1  # share of lexicon tokens expected inside a toxic passage
 THRESHOLD = 0.5
 STEM = 4  # bytes
@@ -130,9 +131,9 @@ def _rate(shares: np.ndarray, scores: np.ndarray) -> float:
 
 
 def fit_lexicon(
-    labelled: DataFrame, keep: Kept, least_rows: float, most: int = LEXICON_TOKENS, least_z: float = LEAST_Z, stem: int = STEM
+    labelled: DataFrame, keep: Kept, most: int = LEXICON_TOKENS, least_z: float = LEAST_Z, stem: int = STEM
 ) -> Lexicon:
-    """From rows of (text, label 0 or 1); a token must be in ``least_rows`` toxic ones at least.
+    """From rows of (text, label 0 or 1); ``least_z`` alone decides which tokens are significant.
 
     ``most`` bounds the lexicon, which every task gets, to its most significant tokens.
     """
@@ -152,7 +153,7 @@ def fit_lexicon(
     z = F.sqrt(2 * F.greatest(gain, F.lit(0.0)))
     top = (
         counts.select("token", "n_toxic", "n_other", odds.alias("odds"), z.alias("z"))
-        .filter((F.col("z") >= least_z) & (F.col("odds") > 0) & (F.col("n_toxic") >= least_rows))
+        .filter((F.col("z") >= least_z) & (F.col("odds") > 0))
         .orderBy(F.desc("z"), "token")
         .limit(most)
         .collect()
@@ -216,9 +217,8 @@ def scan(docs: DataFrame, model: Lexicon) -> DataFrame:
 
 
 def toxicity_scores(
-    docs: DataFrame, label_rows: DataFrame, fit_rows: int = FIT_ROWS, least_z: float = LEAST_Z,
-    least_share: float = LEAST_SHARE, stem: int = STEM,
-) -> DataFrame:
+    docs: DataFrame, label_rows: DataFrame, fit_rows: int = FIT_ROWS, least_z: float = LEAST_Z, stem: int = STEM
+) -> DataFrame:
     """doc_id, held_out, score, predicted, n_passages and passages of every row of ``docs``.
 
     Learns from ``toxic`` of the labels whose crc32(doc_id) mod 5 is not 0, of the ``fit_rows`` first by a
@@ -233,12 +233,12 @@ def toxicity_scores(
     known = keep(known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(fit_rows), "known")
     known = F.broadcast(known)
     source = texts(docs)
-    # Copies of a text would count its words again and again: one row of each stands for all.
-    once = source.join(known, "doc_id").select("doc_id", "label", F.xxhash64("text").alias("copy"))
-    once = keep(once.groupBy("copy", "label").agg(F.min("doc_id").alias("doc_id")), "once").select("doc_id", "label")
-    toxic = once.filter("label = 1").count()
+    # Copies of a text, near ones too, would count its words again and again: one row of each stands for all.
+    copies = minhash.near_dedup(source.join(known.select("doc_id").distinct(), "doc_id"), NEAR_PERCENT)
+    once = copies.select("doc_id", "component_id").distinct().join(known, "doc_id")
+    once = keep(once.groupBy("component_id", "label").agg(F.min("doc_id").alias("doc_id")), "once").select("doc_id", "label")
     labelled = source.join(F.broadcast(once), "doc_id").select("text", "label")
-    model = fit_lexicon(labelled, keep, least_share * toxic, least_z=least_z, stem=stem)
+    model = fit_lexicon(labelled, keep, least_z=least_z, stem=stem)
     scanned = keep(scan(source, model), "passages")
     scanned = scanned.withColumn("root", F.sqrt("evidence"))
     curve = fit_logistic(scanned.join(known, "doc_id"), "root", "label") if len(model.hashes) else None

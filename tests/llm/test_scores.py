@@ -37,6 +37,31 @@ def test_toxicity_on_held_out_labels(spark):
     assert accuracy(spark, scored, "toxic") > 0.9
 
 
+def test_toxicity_of_a_long_tailed_vocabulary(spark):
+    """300 slurs, each in about 1 % of the toxic texts, and no two with a common stem."""
+    random_ = random.Random(11)
+    letters = "bcdfghjklmnpqrstvwxz"
+    slurs = [f"{a}{b}uq{c}" for a in letters for b in letters for c in "x"][:300]
+    usual = [f"{c}{v}{d}{w}" for c in letters[:12] for v in "aei" for d in letters[:12] for w in "ao"]
+    docs, known = [], []
+    for i in range(6_000):
+        toxic = i % 8 == 0
+        w = [random_.choice(usual) for _ in range(40)]
+        if toxic:
+            for at in random_.sample(range(40), 4):
+                w[at] = random_.choice(slurs)
+        docs.append((i, " ".join(w)))
+        known.append((i, 1, int(toxic)))
+    scored = toxicity.toxicity_scores(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(known, "doc_id long, quality int, toxic int"),
+    )
+    held = scored.filter("held_out").select("doc_id", "predicted").collect()
+    caught = [r.predicted for r in held if r.doc_id % 8 == 0]
+    wrong = [r.predicted for r in held if r.doc_id % 8]
+    assert np.mean(caught) > 0.95 and np.mean(wrong) < 0.01
+
+
 @pytest.mark.parametrize("score", [quality.quality_scores, toxicity.toxicity_scores])
 def test_scores_of_odd_rows(spark, odd, none, score):
     labelled = labels(spark, SF_DIR)
