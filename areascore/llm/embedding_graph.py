@@ -7,7 +7,8 @@ Every vector is then searched for in its shards, from the medoid on: the best no
 expanded until none of the best is left, and every node within range is expanded as well, so the search
 runs through all of a group of near-duplicates however large it is. Cosines are worked out in double
 precision on the vectors themselves, so no link is below the threshold. Afterwards the links found
-are held against brute force for a sample of vectors; below the wanted recall, the shards overlap more.
+are held against brute force for a sample of vectors, each of which counts alike; where those with few links,
+or those with many, are below the wanted recall, the shards overlap more.
 
 A pair is counted in the shard that is home to its other vector only, and a shard hands on one tie a
 vector for the components, so links leave a task as counts, never as pairs.
@@ -34,7 +35,9 @@ THRESHOLD = 0.9
 SHARD_ROWS = 512
 OVERLAP = 4
 SAMPLE_ROWS = 20_000
-AUDIT_ROWS = 512
+AUDIT_ROWS, AUDIT_MOST = 512, 8_192
+AUDIT_LINKED = 64  # linked vectors outside hot groups that the audit wants in its sample
+AUDIT_CLASS = 32  # vectors that a class of like numbers of links needs to have a recall of its own
 LEAST_RECALL = 0.95
 POOL, DEGREE, ALPHA = 48, 16, 1.2
 RANDOM_POOL = 8
@@ -226,7 +229,7 @@ def _adjacency(shards: DataFrame) -> DataFrame:
 
 
 def _search(shards: DataFrame, graph: DataFrame, threshold: float) -> DataFrame:
-    """vec_id, found, the weight of the links to vectors at home in a shard, and tie, the least it hangs on there."""
+    """vec_id, the links to vectors at home in a shard by weight (found) and by number (pairs), and tie, the least it hangs on there."""
 
     def work(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
@@ -234,7 +237,7 @@ def _search(shards: DataFrame, graph: DataFrame, threshold: float) -> DataFrame:
         ids, unit = table.column("vec_id").to_numpy(), _matrix(table.column("unit"))
         member = np.flatnonzero(table.column("member").to_numpy())
         if not len(member):
-            return pa.table({"vec_id": ids[:0], "found": ids[:0], "tie": ids[:0]})
+            return pa.table({"vec_id": ids[:0], "found": ids[:0], "pairs": ids[:0], "tie": ids[:0]})
         x, at = unit[member], ids[member]
         home = table.column("home").to_numpy()[member]
         weight = table.column("weight").to_numpy()[member] * home
@@ -250,7 +253,7 @@ def _search(shards: DataFrame, graph: DataFrame, threshold: float) -> DataFrame:
         order = np.argsort(-(unit @ x[medoid]), kind="stable")
         label = (unit @ x[order_spread(len(x))].T).argmax(axis=1)
         order = order[np.argsort(label[order], kind="stable")]
-        found = np.zeros(len(ids), dtype=np.int64)
+        found, pairs = np.zeros(len(ids), dtype=np.int64), np.zeros(len(ids), dtype=np.int64)
         root = np.arange(len(ids))
 
         def top(i: int) -> int:
@@ -263,6 +266,7 @@ def _search(shards: DataFrame, graph: DataFrame, threshold: float) -> DataFrame:
             rows = order[a : a + len(scores)]
             inside = (scores >= threshold) & (at[nodes][None, :] != ids[rows][:, None])
             found[rows] += inside.astype(np.int64) @ weight[nodes]
+            pairs[rows] += inside.astype(np.int64) @ home[nodes].astype(np.int64)
             for i in np.flatnonzero(inside.any(axis=1)).tolist():
                 others = np.unique(root[member[nodes[inside[i]]]])
                 for other in others.tolist():
@@ -270,10 +274,10 @@ def _search(shards: DataFrame, graph: DataFrame, threshold: float) -> DataFrame:
                     root[max(one, two)] = min(one, two)
         tie = ids[np.array([top(i) for i in range(len(ids))], dtype=np.int64)]
         use = (found > 0) | (tie != ids)
-        return pa.table({"vec_id": ids[use], "found": found[use], "tie": tie[use]})
+        return pa.table({"vec_id": ids[use], "found": found[use], "pairs": pairs[use], "tie": tie[use]})
 
     rows = shards.join(graph, "vec_id")
-    return rows.groupBy("dim", "shard", "part").applyInArrow(work, "vec_id long, found long, tie long")
+    return rows.groupBy("dim", "shard", "part").applyInArrow(work, "vec_id long, found long, pairs long, tie long")
 
 
 def order_spread(n: int, most: int = 32) -> np.ndarray:
@@ -281,9 +285,33 @@ def order_spread(n: int, most: int = 32) -> np.ndarray:
     return np.unique(np.linspace(0, n - 1, min(n, most)).astype(np.int64))
 
 
-def _audit(reps: DataFrame, counts: DataFrame, threshold: float) -> float:
-    """Share of the links of a bounded sample of vectors that was found; brute force over all rows."""
-    sample = reps.orderBy(F.xxhash64("vec_id", F.lit(1)), "vec_id").limit(AUDIT_ROWS)
+def _audit(reps: DataFrame, counts: DataFrame, threshold: float, hot: int) -> float:
+    """Recall of a bounded sample of vectors, held against brute force over all rows.
+
+    Each vector with links counts alike, and copies of a vector count once. Vectors are put in classes by
+    their number of links; the recall is that of the worst class, so a hot group cannot hide what pairs
+    lose. The sample grows until enough vectors of it have links, but no more than ``hot``.
+    """
+    size = AUDIT_ROWS
+    while True:
+        got = _audited(reps, counts, threshold, size)
+        linked = [(n, min(found / n, 1.0)) for n, found in got if n]
+        if len(got) < size or size >= AUDIT_MOST or sum(n <= hot for n, _ in linked) >= AUDIT_LINKED:
+            break
+        size *= 4
+    classes: dict[int, list[float]] = {}
+    for n, share in linked:
+        classes.setdefault(n.bit_length() // 2, []).append(share)
+    means = [float(np.mean(c)) for c in classes.values() if len(c) >= AUDIT_CLASS]
+    rest = [x for c in classes.values() if len(c) < AUDIT_CLASS for x in c]
+    if rest:
+        means.append(float(np.mean(rest)))
+    return min(means, default=1.0)
+
+
+def _audited(reps: DataFrame, counts: DataFrame, threshold: float, size: int) -> list[tuple[int, int]]:
+    """Links there are and links found of each of ``size`` vectors."""
+    sample = reps.orderBy(F.xxhash64("vec_id", F.lit(1)), "vec_id").limit(size)
     rows = sample.select("vec_id", "dim", "unit").collect()
     asked: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for dim in {r.dim for r in rows}:
@@ -291,20 +319,20 @@ def _audit(reps: DataFrame, counts: DataFrame, threshold: float) -> float:
         asked[dim] = (np.array([r.vec_id for r in mine]), np.array([r.unit for r in mine]))
 
     def work(batch: pa.RecordBatch):
-        dims, ids, weights = (batch.column(c).to_numpy() for c in ("dim", "vec_id", "weight"))
+        dims, ids = (batch.column(c).to_numpy() for c in ("dim", "vec_id"))
         for dim, (vec, unit) in asked.items():
             use = np.flatnonzero(dims == dim)
-            if len(use):
-                x = _matrix(batch.column("unit").take(pa.array(use)))
-                hit = (unit @ x.T >= threshold) & (vec[:, None] != ids[use][None, :])
-                yield {"vec_id": vec, "n": hit.astype(np.int64) @ weights[use]}
-
-    there = map_batches(reps.select("vec_id", "dim", "unit", "weight"), "vec_id long, n long", work)
+            n = np.zeros(len(vec), dtype=np.int64)
+            for a in range(0, len(use), 512):
+                some = use[a : a + 512]
+                x = _matrix(batch.column("unit").take(pa.array(some)))
+                n += ((unit @ x.T >= threshold) & (vec[:, None] != ids[some][None, :])).sum(axis=1)
+            yield {"vec_id": vec, "n": n}
+
+    there = map_batches(reps.select("vec_id", "dim", "unit"), "vec_id long, n long", work)
     there = there.groupBy("vec_id").agg(F.sum("n").alias("n"))
-    total, found = there.join(counts, "vec_id", "left").agg(
-        F.sum("n"), F.sum(F.least("n", F.coalesce("found", F.lit(0))))
-    ).first()
-    return (found or 0) / total if total else 1.0
+    both = there.join(counts, "vec_id", "left").select("n", F.coalesce("pairs", F.lit(0)).alias("pairs"))
+    return [(r.n, r.pairs) for r in both.collect()]
 
 
 def near_dedup(
@@ -331,9 +359,9 @@ def near_dedup(
             F.array_distinct(F.flatten(F.collect_list("neighbours"))).alias("neighbours")
         )
         hits = keep(_search(shards, graph, threshold), "hits")
-        counts = keep(hits.groupBy("vec_id").agg(F.sum("found").alias("found")), "counts")
+        counts = keep(hits.groupBy("vec_id").agg(F.sum("found").alias("found"), F.sum("pairs").alias("pairs")), "counts")
         widest = shards.agg(F.max("shard")).first()[0]
-        if widest is None or overlap > widest or _audit(reps, counts, threshold) >= least_recall:
+        if widest is None or overlap > widest or _audit(reps, counts, threshold, shard_rows) >= least_recall:
             break
         overlap *= 2
     ties = hits.select(F.col("vec_id").alias("a"), F.col("tie").alias("b"))

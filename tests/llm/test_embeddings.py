@@ -48,6 +48,32 @@ def test_links_and_components(spark, shard_rows, overlap):
     assert sum(g[0] for g in got.values()) >= 0.99 * sum(w[0] for w in want.values())
 
 
+def test_pairs_beside_a_hot_group_are_audited(spark):
+    generator = np.random.default_rng(4)
+    hot = clustered(500, 1, 16, 0.02, 5)
+    one = generator.normal(size=(250, 16))
+    one /= np.linalg.norm(one, axis=1, keepdims=True)
+    aside = generator.normal(size=(250, 16))
+    aside -= (aside * one).sum(axis=1, keepdims=True) * one
+    aside /= np.linalg.norm(aside, axis=1, keepdims=True)
+    two = 0.905 * one + (1 - 0.905**2) ** 0.5 * aside
+    x = np.concatenate([hot, one, two])
+    df = spark.createDataFrame([(i, v.tolist(), 0, "x") for i, v in enumerate(x)], SCHEMA)
+    got = {r[0]: r[1] for r in eg.near_dedup(df, shard_rows=10, overlap=1).collect()}
+    want = expected(list(enumerate(x.tolist())))
+    lonely = [i for i in want if i >= 500 and want[i][0]]
+    assert all(got[i] <= want[i][0] for i in want) and len(lonely) > 400
+    assert np.mean([got[i] / want[i][0] for i in lonely]) >= 0.93
+
+
+def test_a_hot_group_does_not_hide_lost_pairs_from_the_audit(spark):
+    x = np.concatenate([clustered(200, 1, 64, 0.02, 5), np.repeat(np.random.default_rng(6).normal(size=(100, 64)), 2, axis=0)])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    reps = spark.createDataFrame([(i, 64, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, dim int, unit array<double>, weight long")
+    counts = spark.createDataFrame([(i, 199, 199) for i in range(200)], "vec_id long, found long, pairs long")
+    assert eg._audit(reps, counts, 0.9, 100) == 0.0  # every pair is lost
+
+
 def test_one_large_group_is_counted_whole(spark):
     x = clustered(600, 1, 16, 0.02)
     df = spark.createDataFrame([(i, v.tolist(), 0, "x") for i, v in enumerate(x)], SCHEMA)
