@@ -11,7 +11,7 @@ themselves; the significant segments of a text add up to one p-value, which a lo
 labelled rows turns into a probability.
 
 Scale: the fit uses at most ``FIT_ROWS`` labelled rows, so their ids and labels are small enough to
-send to every task, and texts are read where they lie, twice, and never moved. Token counts leave each
+send to every task; texts are read where they lie, and only near-copy detection among those rows moves theirs. Token counts leave each
 Arrow batch already summed. What reaches the driver is the lexicon, whose size is a parameter, and a
 histogram of the evidence.
 """
