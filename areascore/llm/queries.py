@@ -4,17 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from areascore.llm import (
     block_naming,
     embedding_graph,
+    language_id,
     line_windows,
     minhash,
     packing,
+    periodic_runs,
     piece_sampling,
     quality,
     relative_lz,
+    token_alignment,
     token_counts,
     toxicity,
 )
@@ -172,3 +176,57 @@ FROM normalised WINDOW same AS (PARTITION BY t)
 @query("op10_exact_dedup", OP10_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_naming.exact_dedup(documents(spark, sf_dir))
+
+
+@query("op11_language_id")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(documents(spark, sf_dir))
+
+
+@query("op12_token_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("")
+    paths = tokenizer_path(), tokenizer_path("piece_bpe_32k.model")
+    return token_alignment.align(documents(spark, sf_dir), *paths, digest).withColumnRenamed("groups", "groups_sha256")
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """``docs``, of which one text in ten (by crc32 of its doc_id) repeats a stretch of itself to its end."""
+    number = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"))
+    n = F.size(words)
+    g = F.floor(number / 10)
+    a = (g % F.nullif(n, F.lit(0))).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    repeated = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+    planted = F.array_join(F.concat(F.slice(words, F.lit(1), a), F.slice(repeated, F.lit(1), n - a)), " ")
+    return docs.withColumn("text", F.when((number % 10 == 0) & (n > 0), planted).otherwise(F.col("text")))
+
+
+def longest_run(runs: str) -> Column:
+    """The run of greatest length in periods; the first of equal ones."""
+    kind = "struct<start: bigint, length: bigint, period: bigint>"
+    return F.aggregate(
+        runs,
+        F.lit(None).cast(kind),
+        lambda best, run: F.when(
+            best.isNull() | (run["length"] * best["period"] > best["length"] * run["period"]), run
+        ).otherwise(best),
+    )
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(with_planted_runs(documents(spark, sf_dir))).withColumn("best", longest_run("runs"))
+    line = lambda run: F.concat_ws(",", run["start"], run["length"], run["period"])
+    listed = F.array_join(F.transform("runs", lambda run: F.concat(line(run), F.lit("\n"))), "")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("collapsed_sha256"),
+    )

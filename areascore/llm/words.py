@@ -126,6 +126,16 @@ class Words:
             word = stop
         return mix(out)
 
+    def dictionary(self) -> pa.DictionaryArray:
+        """The words as an Arrow dictionary: equal numbers for equal words and for no others."""
+        steps = np.zeros(len(self.data) + 1, dtype=np.int8)
+        steps[self.starts] += 1
+        steps[self.ends] -= 1
+        full = self.data[np.cumsum(steps[:-1], dtype=np.int8) > 0]
+        offsets = np.concatenate(([0], np.cumsum(self.ends - self.starts))).astype(np.int64)
+        buffers = [None, pa.py_buffer(offsets), pa.py_buffer(full)]
+        return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(self), buffers).dictionary_encode()
+
     def rows(self) -> np.ndarray:
         """The row of each word."""
         return np.repeat(np.arange(len(self.first) - 1), self.counts())
