@@ -8,8 +8,8 @@ gives the links. How often a pair of ids is linked in the whole corpus says how
 
 Encoding: texts are cut before a plain space that has other than white space on both sides. The
 pre-tokenizer of the first kind starts anew there, and no piece of the second kind may hold a space behind
-another character, which is checked when it is loaded; so tokens never cross a cut. Each distinct
-piece of a block is encoded once, a stretch without such a space as a whole, whatever its length.
+another character, which is checked when it is loaded; so tokens never cross a cut. A process encodes a
+piece once while it remembers it, a stretch without such a space as a whole, whatever its length.
 
 Scale: a block is about ``BLOCK`` bytes of texts, or one longer text. It passes on its distinct id pairs with
 their counts and, for each text, which pieces it is made of. Pairs are summed over all blocks, each block gets
@@ -32,7 +32,9 @@ from pyspark.sql import functions as F
 from areascore.llm.batches import Kept, lists, map_batches, texts
 from areascore.llm.words import row_slices, text_bytes
 
-BLOCK = 1 << 22
+BLOCK = 1 << 21
+CHUNK = 1 << 12  # bytes that go to an encoder as one string
+STORED = 1 << 18  # pieces that a process remembers
 SPACE = "▁"
 COMMA, BAR, SEMICOLON = b",|;"
 # First bytes of characters among which there is white space beyond ASCII (U+0085, U+00A0, U+1680, U+2000 to U+3000).
@@ -129,8 +131,10 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     for back in (2, 3, 4):  # the first byte of the character before
         inside = (before & 0xC0) == 0x80
         before = np.where(inside, data[np.maximum(at - back, 0)], before)
-    safe = at[~MAYBE_WHITE[after] & ~MAYBE_WHITE[before]]
-    return np.union1d(safe, offsets[:-1])
+    start = np.zeros(len(data) + 1, dtype=bool)
+    start[at[~MAYBE_WHITE[after] & ~MAYBE_WHITE[before]]] = True
+    start[offsets[:-1]] = True
+    return np.flatnonzero(start)
 
 
 def lower_bounds(short: np.ndarray, long: np.ndarray) -> np.ndarray:
@@ -223,66 +227,136 @@ def _rendered(
     return cells[np.arange(width) < sizes[:, None]], np.diff(sums[a_cuts + b_cuts])
 
 
-def _encoded(pieces: pa.Array, first, second) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
-    """Ids of each piece by both tokenizers as flat arrays with offsets, and whether both give its bytes."""
-    (tokenizer, a_vocabulary), (processor, b_vocabulary) = first, second
-    raw = pieces.to_pylist()
-    known, valid = [], np.zeros(len(raw), dtype=bool)
-    for i, piece in enumerate(raw):
-        try:
-            known.append(piece.decode())
-            valid[i] = True
-        except UnicodeDecodeError:
-            known.append("")
-    a = [e.ids for e in tokenizer.encode_batch_fast(known, add_special_tokens=False)]
-    b = processor.encode([p[1:] for p in known], num_threads=1)
-    sides = []
-    size = np.array([len(p) for p in raw])
-    whole = np.frombuffer(b"".join(raw), dtype=np.uint8)
-    good = valid
-    for ids, vocabulary in ((a, a_vocabulary), (b, b_vocabulary)):
-        offsets = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int64)
-        flat = np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=int(offsets[-1]))
-        sums = np.concatenate(([0], np.cumsum(vocabulary.lengths(flat))))
-        good = good & (sums[offsets[1:]] - sums[offsets[:-1]] == size)
-        sides.append([flat, offsets])
-    for (flat, offsets), vocabulary in zip(sides, (a_vocabulary, b_vocabulary), strict=True):
-        each = np.flatnonzero(good)
-        ids = flat[spans(offsets[each], offsets[each + 1] - offsets[each])]
-        at = np.concatenate(([0], np.cumsum(size)))[each]
-        same = vocabulary.joined(ids) == whole[spans(at, size[each])]
-        wrong = np.concatenate(([0], np.cumsum(~same)))
-        ends = np.cumsum(size[each])
-        good[each[wrong[ends] > wrong[ends - size[each]]]] = False
-    return sides[0], sides[1], good
-
-
-def _chosen(side: list[np.ndarray], which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of the pieces ``which``, one after another, and how many each has."""
-    flat, offsets = side
-    counts = offsets[which + 1] - offsets[which]
-    return flat[spans(offsets[which], counts)], counts
-
-
-def _piece_links(a_side, b_side, good: np.ndarray, first: Vocabulary, second: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """Links of each good piece as pairs ``a << 32 | b``, and how many each piece has."""
-    which = np.flatnonzero(good)
-    (a, n_a), (b, _) = _chosen(a_side, which), _chosen(b_side, which)
-    a_ends, b_ends = np.cumsum(first.lengths(a)), np.cumsum(second.lengths(b))
-    begin, many = overlaps(a_ends, b_ends, *common_ends(a_ends, b_ends))
-    pairs = np.repeat(a << 32, many) | b[spans(begin, many)]
-    sums = np.concatenate(([0], np.cumsum(many)))
-    ends = np.cumsum(n_a)
-    counts = np.zeros(len(good), dtype=np.int64)
-    counts[which] = sums[ends] - sums[ends - n_a]
-    return pairs, counts
+def _ids(encode, vocabulary: Vocabulary, pieces: list[str], sizes: np.ndarray, alone: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Ids of all pieces, and where those of each piece start and how many there are.
+
+    Pieces go to the encoder side by side in strings of about ``CHUNK`` bytes, but for those ``alone``; in a
+    string whose tokens have other bytes than it they are encoded one by one.
+    """
+    order = np.argsort(alone, kind="stable")
+    ends = np.cumsum(sizes[order])
+    chunk = np.where(alone[order], len(order) + np.arange(len(order)), ends // CHUNK)
+    first = np.flatnonzero(np.concatenate(([True], chunk[1:] != chunk[:-1])))
+    bounds = np.append(first, len(order))
+    parts = [pieces[i] for i in order.tolist()]
+    found = encode(["".join(parts[x:y]) for x, y in zip(first.tolist(), bounds[1:].tolist(), strict=True)])
+    flat, counts = np.fromiter(chain.from_iterable(found), dtype=np.int64), np.array([len(x) for x in found])
+    sums, last = np.concatenate(([0], np.cumsum(vocabulary.lengths(flat)))), np.cumsum(counts)
+    limits = np.concatenate(([0], ends))[bounds]
+    fits = sums[last] - sums[last - counts] == np.diff(limits)
+    several = np.diff(bounds) > 1
+    if (~fits & several).any():
+        alone = alone.copy()
+        alone[order[np.repeat(~fits & several, np.diff(bounds))]] = True
+        return _ids(encode, vocabulary, pieces, sizes, alone)
+    # Where a piece's tokens have other bytes, all of them end where it ends.
+    token_ends = np.where(
+        np.repeat(fits, counts), sums[1:] + np.repeat(limits[:-1] - sums[last - counts], counts), np.repeat(limits[1:], counts)
+    )
+    stops = np.searchsorted(token_ends, ends, side="right")
+    starts, many = np.empty(len(order), dtype=np.int64), np.empty(len(order), dtype=np.int64)
+    starts[order] = np.concatenate(([0], stops[:-1]))
+    many[order] = np.diff(np.concatenate(([0], stops)))
+    return flat, starts, many
+
+
+class Pieces:
+    """Pieces met so far in a process: ids by both tokenizers, whether both give the piece's bytes, links.
+
+    At most ``STORED`` are kept, which bounds memory; what is forgotten is encoded again.
+    """
+
+    def __init__(self, first, second):
+        (self.tokenizer, self.a_vocabulary), (self.processor, self.b_vocabulary) = first, second
+        self.forget()
+
+    def forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        none = np.zeros(0, dtype=np.int64)
+        # Values, starts and counts of each piece: ids of both sides, links as pairs a << 32 | b.
+        self.a = self.b = self.links = (none, none, none)
+        self.good = np.zeros(0, dtype=bool)
+
+    def numbers(self, pieces: pa.Array) -> np.ndarray:
+        """The number of each piece, new ones encoded."""
+        raw = pieces.to_pylist()
+        if len(self.known) + len(raw) > STORED:
+            self.forget()
+        new = [x for x in raw if x not in self.known]
+        if new:
+            self.add(new)
+        return np.array([self.known[x] for x in raw], dtype=np.int64)
+
+    def add(self, raw: list[bytes]) -> None:
+        texts_of, valid = [], np.ones(len(raw), dtype=bool)
+        for i, piece in enumerate(raw):
+            try:
+                texts_of.append(piece.decode())
+            except UnicodeDecodeError:
+                texts_of.append("")
+                valid[i] = False
+        sizes = np.array([len(x.encode()) if v else 0 for x, v in zip(texts_of, valid.tolist(), strict=True)])
+        # Whole strings of pieces are cut where a document would be: not at white space, nor at the sign for a space.
+        ends = np.array([x[-1] if x else 0 for x in raw], dtype=np.uint8)
+        seconds = np.array([x[1] if len(x) > 1 else 0 for x in raw], dtype=np.uint8)
+        alone = ~valid | MAYBE_WHITE[seconds] | (ends <= 0x20) | (ends >= 0x7F) | np.array([SPACE in x for x in texts_of], dtype=bool)
+        a = _ids(
+            lambda x: [e.ids for e in self.tokenizer.encode_batch_fast(x, add_special_tokens=False)],
+            self.a_vocabulary, texts_of, sizes, alone,
+        )
+        b = _ids(
+            lambda x: self.processor.encode([t[1:] for t in x], num_threads=1), self.b_vocabulary, texts_of, sizes, alone
+        )
+        good = valid.copy()
+        whole = np.frombuffer(b"".join(raw), dtype=np.uint8)
+        begin = np.cumsum([len(x) for x in raw]) - [len(x) for x in raw]
+        for (flat, starts, many), v in ((a, self.a_vocabulary), (b, self.b_vocabulary)):
+            each = np.flatnonzero(good)
+            ids, n = _chosen((flat, starts, many), each), many[each]
+            sums, last = np.concatenate(([0], np.cumsum(v.lengths(ids)))), np.cumsum(n)
+            equal = sums[last] - sums[last - n] == sizes[each]
+            good[each[~equal]] = False
+            each = each[equal]
+            same = v.joined(_chosen((flat, starts, many), each)) == whole[spans(begin[each], sizes[each])]
+            wrong, last = np.concatenate(([0], np.cumsum(~same))), np.cumsum(sizes[each])
+            good[each[wrong[last] > wrong[last - sizes[each]]]] = False
+        links = self._links(a, b, good)
+        base = len(self.known)
+        self.known.update((x, base + i) for i, x in enumerate(raw))
+        for name, (flat, starts, many) in (("a", a), ("b", b), ("links", links)):
+            old = getattr(self, name)
+            setattr(self, name, tuple(map(np.concatenate, ((old[0], flat), (old[1], starts + len(old[0])), (old[2], many)))))
+        self.good = np.concatenate([self.good, good])
+
+    def _links(self, a_side, b_side, good: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Links of each good piece: pairs, where each piece's start and how many it has."""
+        which = np.flatnonzero(good)
+        a, b = _chosen(a_side, which), _chosen(b_side, which)
+        a_ends, b_ends = np.cumsum(self.a_vocabulary.lengths(a)), np.cumsum(self.b_vocabulary.lengths(b))
+        begin, many = overlaps(a_ends, b_ends, *common_ends(a_ends, b_ends))
+        sums = np.concatenate(([0], np.cumsum(many)))
+        last = np.cumsum(a_side[2][which])
+        counts = np.zeros(len(good), dtype=np.int64)
+        counts[which] = sums[last] - sums[last - a_side[2][which]]
+        return np.repeat(a << 32, many) | b[spans(begin, many)], np.cumsum(counts) - counts, counts
+
+
+def _chosen(side: tuple[np.ndarray, np.ndarray, np.ndarray], which: np.ndarray) -> np.ndarray:
+    """Values of the pieces ``which``, one piece after another."""
+    flat, starts, many = side
+    return flat[spans(starts[which], many[which])]
+
+
+@lru_cache(maxsize=1)
+def load_pieces(a_path: str, b_path: str) -> Pieces:
+    return Pieces(load_first(a_path), load_second(b_path))
 
 
 def _first_pass(docs: DataFrame, a_path: str, b_path: str, block_bytes: int) -> DataFrame:
     """A row a text: its block, sizes, groups and pieces; the first row of a block has the links of all of its pieces."""
 
     def work(batch: pa.RecordBatch):
-        first, second = load_first(a_path), load_second(b_path)
+        store = load_pieces(a_path, b_path)
         context = TaskContext.get()
         data, offsets = text_bytes(batch.column("text"))
         for low, high in row_slices(offsets, block_bytes):
@@ -290,7 +364,7 @@ def _first_pass(docs: DataFrame, a_path: str, b_path: str, block_bytes: int) ->
             block = (context.partitionId() << 32) + work.block if context else work.block
             part = batch.slice(low, high - low)
             yield {"block": np.full(high - low, block), "doc_id": part.column("doc_id")} | _aligned(
-                data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], first, second
+                data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], store
             )
 
     work.block = 0
@@ -301,7 +375,7 @@ def _first_pass(docs: DataFrame, a_path: str, b_path: str, block_bytes: int) ->
     return map_batches(docs, schema, work)
 
 
-def _aligned(data: np.ndarray, offsets: np.ndarray, first, second) -> dict:
+def _aligned(data: np.ndarray, offsets: np.ndarray, store: Pieces) -> dict:
     """The columns of :func:`_first_pass` for the texts of one block."""
     n = len(offsets) - 1
     empty = np.diff(offsets) == 0
@@ -311,41 +385,41 @@ def _aligned(data: np.ndarray, offsets: np.ndarray, first, second) -> dict:
     column = pa.LargeBinaryArray.from_buffers(
         pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(data)).astype(np.int64)), pa.py_buffer(data)]
     ).dictionary_encode()
-    piece = column.indices.to_numpy().astype(np.int64)
-    a_side, b_side, good = _encoded(column.dictionary, first, second)
+    number = store.numbers(column.dictionary)
+    piece = column.indices.to_numpy()
     at = np.searchsorted(starts, offsets)
-    bad = np.concatenate(([0], np.cumsum(~good[piece])))
+    bad = np.concatenate(([0], np.cumsum(~store.good[number][piece])))
     fine = (bad[at[1:]] == bad[at[:-1]]) & ~empty
-    row = np.repeat(np.arange(n), np.diff(at))
-    used = piece[fine[row]]
-    (a, n_a), (b, n_b) = _chosen(a_side, used), _chosen(b_side, used)
-    sums = [np.concatenate(([0], np.cumsum(x))) for x in (n_a, n_b)]
-    of_text = np.concatenate(([0], np.cumsum(np.where(fine, np.diff(at), 0))))
-    a_first, b_first = sums[0][of_text], sums[1][of_text]
+    many = np.where(fine, np.diff(at), 0)
+    used = piece[np.repeat(fine, np.diff(at))]
+    each = number[used]
+    a, b = _chosen(store.a, each), _chosen(store.b, each)
+    of_text = np.concatenate(([0], np.cumsum(many)))
+    a_first, b_first = (np.concatenate(([0], np.cumsum(side[2][each])))[of_text] for side in (store.a, store.b))
     # The ends of all texts of the block make up one rising list for each tokenizer.
-    a_ends, b_ends = np.cumsum(first[1].lengths(a)), np.cumsum(second[1].lengths(b))
+    a_ends, b_ends = np.cumsum(store.a_vocabulary.lengths(a)), np.cumsum(store.b_vocabulary.lengths(b))
     a_common, b_common = common_ends(a_ends, b_ends)
     last = np.zeros(len(a), dtype=bool)
     last[a_first[1:][a_first[1:] > a_first[:-1]] - 1] = True
     a_cuts, b_cuts = (np.concatenate(([0], x + 1)) for x in (a_common, b_common))
     group_first = np.searchsorted(a_common, a_first)
-    text, sizes = _rendered(a, b, a_cuts, b_cuts, last[a_common], first[1], second[1])
+    text, sizes = _rendered(a, b, a_cuts, b_cuts, last[a_common], store.a_vocabulary, store.b_vocabulary)
     text_at = np.concatenate(([0], np.cumsum(sizes)))[group_first]
-    counts = np.diff(a_first), np.diff(b_first), np.diff(group_first)
-    # Pairs and pieces that occur, counted for the block.
-    links, link_counts = _piece_links(a_side, b_side, good, first[1], second[1])
-    pairs, where = np.unique(links, return_inverse=True)
-    times = np.bincount(used, minlength=len(good))
-    pair_counts = np.bincount(where, weights=np.repeat(times, link_counts), minlength=len(pairs)).astype(np.int64)
-    only = lambda values, kind: pa.array([values, *[None] * (n - 1)], pa.list_(kind))
+    n_a, n_b, n_groups = np.diff(a_first), np.diff(b_first), np.diff(group_first)
+    # Pairs of the pieces that occur, counted for the block.
+    link_counts = np.where(store.good[number], store.links[2][number], 0)
+    pairs, links = np.unique(_chosen(store.links, number), return_inverse=True)
+    times = np.repeat(np.bincount(used, minlength=len(number)), link_counts)
+    pair_counts = np.bincount(links, weights=times, minlength=len(pairs)).astype(np.int64)
+    only = lambda values, kind: lists(values, np.array([len(values), *[0] * (n - 1)]), kind)
     return {
-        "n_a": counts[0],
-        "n_b": counts[1],
-        "n_groups": counts[2],
-        "n_links": counts[0] + counts[1] - counts[2],
+        "n_a": n_a,
+        "n_b": n_b,
+        "n_groups": n_groups,
+        "n_links": n_a + n_b - n_groups,
         "groups": pa.LargeStringArray.from_buffers(n, pa.py_buffer(text_at.astype(np.int64)), pa.py_buffer(text)).cast(pa.string()),
-        "pieces": lists(used, np.diff(of_text), pa.int32()),
-        "links": only(where, pa.int32()),
+        "pieces": lists(used, many, pa.int32()),
+        "links": only(links, pa.int32()),
         "link_counts": only(link_counts, pa.int32()),
         "pairs": only(pairs, pa.int64()),
         "pair_counts": only(pair_counts, pa.int64()),
@@ -395,7 +469,7 @@ def align(
     if groups is not None:
         found = found.withColumn("groups", groups)
     found = keep(found, "aligned")
-    each = found.filter("pairs is not null").select(
+    each = found.filter(F.size("pairs") > 0).select(
         F.col("block").alias("of_block"), F.posexplode(F.arrays_zip("pairs", "pair_counts")).alias("place", "x")
     )
     each = each.select("of_block", "place", F.col("x.pairs").alias("pair"), F.col("x.pair_counts").alias("n"))
