@@ -2,12 +2,15 @@
 
 A word is a run of bytes other than space and tab to carriage return. All functions work on the
 UTF-8 bytes of a batch at once and in tiles of bounded size, so memory follows the batch, not the
-longest text. Hashes are 64-bit polynomials over random byte values, finished by a mixer; they are
-the same in every process and on every machine.
+longest text. Hashes have 64 bits: polynomials over random byte values, finished by a mixer, for words of
+up to ``LONG`` bytes. Polynomials modulo a power of two send some long words to one value (those made by doubling
+two letters, from 1,024 bytes on, whatever the values are), so longer words are digested with a keyed blake2b. Hashes
+are the same in every process and on every machine.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +19,7 @@ import pyarrow.compute as pc
 
 WHITE = bytes([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
 TILE = 1 << 18  # bytes hashed at a time
+LONG = 32  # bytes of a word from which on it is digested
 SLICE = 1 << 21  # bytes of the documents looked at together
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -29,9 +33,6 @@ IS_LETTER[65:91] = IS_LETTER[97:123] = IS_LETTER[128:] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values that spreads every bit."""
     x = (x ^ (x >> np.uint64(30))) * MIX1
@@ -39,19 +40,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64, up to n."""
-    size = max(TILE, 1 << (n - 1).bit_length()) + 1
-    if size not in _powers:
-        tables = []
-        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-            steps = np.full(size, base, dtype=np.uint64)
-            steps[0] = 1
-            tables.append(np.multiply.accumulate(steps))
-        if size > TILE + 1:
-            return tables[0], tables[1]
-        _powers[size] = (tables[0], tables[1])
-    return _powers[size]
+def _powers(base: int) -> np.ndarray:
+    steps = np.full(TILE + 1, base, dtype=np.uint64)
+    steps[0] = 1
+    return np.multiply.accumulate(steps)
+
+
+_POWER, _INVERSE = _powers(_BASE), _powers(pow(_BASE, -1, 1 << 64))
 
 
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -110,21 +105,25 @@ class Words:
     def hashes(self, fold: np.ndarray | None = None) -> np.ndarray:
         """One 64-bit hash a word; ``fold`` maps bytes first, :data:`LOWER` for A-Z."""
         values = _BYTE if fold is None else _BYTE[fold]
-        out = np.empty(len(self), dtype=np.uint64)
+        out = np.zeros(len(self), dtype=np.uint64)
         word = 0
         while word < len(self):
             begin = self.starts[word]
             stop = int(np.searchsorted(self.ends, begin + TILE, side="right"))
-            stop = max(stop, word + 1)
-            span = self.data[begin : self.ends[stop - 1]]
-            power, inverse = _power_tables(len(span))
-            sums = np.empty(len(span) + 1, dtype=np.uint64)
-            sums[0] = 0
-            np.cumsum(values[span] * power[: len(span)], out=sums[1:])
-            s, e = self.starts[word:stop] - begin, self.ends[word:stop] - begin
-            out[word:stop] = (sums[e] - sums[s]) * inverse[s] + (e - s).astype(np.uint64)
-            word = stop
-        return mix(out)
+            if stop > word:
+                span = self.data[begin : self.ends[stop - 1]]
+                sums = np.empty(len(span) + 1, dtype=np.uint64)
+                sums[0] = 0
+                np.cumsum(values[span] * _POWER[: len(span)], out=sums[1:])
+                s, e = self.starts[word:stop] - begin, self.ends[word:stop] - begin
+                out[word:stop] = (sums[e] - sums[s]) * _INVERSE[s] + (e - s).astype(np.uint64)
+            word = max(stop, word + 1)
+        out = mix(out)
+        for word in np.flatnonzero(self.ends - self.starts > LONG).tolist():
+            content = self.data[self.starts[word] : self.ends[word]]
+            content = (content if fold is None else fold[content]).tobytes()
+            out[word] = int.from_bytes(hashlib.blake2b(content, digest_size=8, key=b"word").digest(), "little")
+        return out
 
     def dictionary(self) -> pa.DictionaryArray:
         """The words as an Arrow dictionary: equal numbers for equal words and for no others."""

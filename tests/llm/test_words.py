@@ -2,9 +2,11 @@ import brute
 import numpy as np
 import pyarrow as pa
 import pytest
+from cases import frame
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from areascore.llm import minhash, relative_lz
 from areascore.llm import words as w
 
 TEXT = st.text(st.sampled_from("abAB é\t\n\x0b\x0c\r\x1f 日"), max_size=40)
@@ -36,9 +38,8 @@ def test_hashes_do_not_depend_on_tiles(monkeypatch):
     text = " ".join(["word", "x" * 1000, "é", "word"] * 50)
     data, offsets = w.text_bytes(pa.array([text]))
     expected = w.Words(data, offsets).hashes().tolist()
-    for tile in (1, 7, 500):
+    for tile in (33, 100, 1500):
         monkeypatch.setattr(w, "TILE", tile)
-        monkeypatch.setattr(w, "_powers", {})
         assert w.Words(data, offsets).hashes().tolist() == expected
 
 
@@ -57,3 +58,32 @@ def test_slices_cover_all_rows():
     for most in (1, 4, 60, 1000):
         ranges = list(w.row_slices(offsets, most))
         assert [x for a, b in ranges for x in range(a, b)] == list(range(6))
+
+
+def doubled(n):
+    """Two words of 2 ** n letters: each doubling puts both together, in either order."""
+    u, v = "a", "b"
+    for _ in range(n):
+        u, v = u + v, v + u
+    return u, v
+
+
+@pytest.mark.parametrize("n", [4, 5, 6, 10, 11, 14, 19])
+def test_doubled_words_stay_apart(n):
+    u, v = doubled(n)
+    data, offsets = w.text_bytes(pa.array([f"x {u} {v} {u} y", u.upper()]))
+    words = w.Words(data, offsets)
+    hashes = words.hashes()
+    assert hashes[1] == hashes[3] != hashes[2] and hashes[5] not in hashes[:5]
+    lowered = words.hashes(w.LOWER)
+    assert lowered[1] == lowered[5] != lowered[2]
+
+
+def test_doubled_words_make_no_copies(spark):
+    u, v = doubled(10)
+    rest = [f"w{i}" for i in range(30)]
+    docs = [(i, " ".join(rest[:15] + [x] + rest[16:])) for i, x in enumerate((u, v))]
+    docs += [(2, " ".join([u, *rest])), (3, " ".join([v, *rest])), (4, u), (5, v)]
+    got = {r.doc_id: tuple(r)[1:] for r in relative_lz.parse(frame(spark, docs)).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()}
+    assert got == brute.words_left(docs)
+    assert {r[0]: tuple(r)[1:] for r in minhash.near_dedup(frame(spark, docs)).collect()} == brute.near_groups(docs)
