@@ -55,7 +55,7 @@ def lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, type=kind))
 
 
-def _let_workers_import(spark: SparkSession) -> None:
+def let_workers_import(spark: SparkSession) -> None:
     """Workers on this machine find the package where the driver did; on a cluster it is shipped as usual."""
     root = str(Path(__file__).resolve().parents[2])
     environment = spark.sparkContext.environment
@@ -66,7 +66,7 @@ def _let_workers_import(spark: SparkSession) -> None:
 def map_batches(df: DataFrame, schema: str, work: Callable[[pa.RecordBatch], Iterator[dict]]) -> DataFrame:
     """``work`` turns a batch into dicts of equally long columns, each an Arrow batch of the result."""
     names = [field.split()[0] for field in schema.split(", ")]
-    _let_workers_import(df.sparkSession)
+    let_workers_import(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -12,13 +12,15 @@ shuffle as one row a batch. The texts are joined once, to the positions to remov
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from areascore.llm.batches import Kept, map_batches, texts
+from areascore.llm.batches import Kept, let_workers_import, map_batches, texts
 
 WIDTH = 3
 
@@ -54,24 +56,53 @@ def _windows(docs: DataFrame, width: int) -> DataFrame:
     return map_batches(docs, "doc_id long, repeated array<int>, fresh array<struct<key:binary,at:int>>", work)
 
 
+def _covered(n_lines: int, starts: list[int] | None, width: int) -> np.ndarray:
+    """Which lines lie in a window at one of ``starts``."""
+    gone = np.zeros(n_lines + 1, dtype=np.int64)
+    at = np.unique(np.array(starts or [], dtype=np.int64))
+    np.add.at(gone, at, 1)
+    np.add.at(gone, at + width, -1)
+    return np.cumsum(gone[:-1]) > 0
+
+
+def _left(lines: list[str], covered: np.ndarray) -> str:
+    return "\n".join(x for x, c in zip(lines, covered.tolist(), strict=True) if not c)
+
+
 def _remove(joined: DataFrame, width: int) -> DataFrame:
     def work(batch: pa.RecordBatch):
         n_lines, n_removed, kept = [], [], []
         for value, starts in zip(batch.column("text"), batch.column("starts").to_pylist(), strict=True):
             lines = value.as_py().split("\n") if value.is_valid else []
-            gone = np.zeros(len(lines) + 1, dtype=np.int64)
-            at = np.unique(np.array(starts or [], dtype=np.int64))
-            np.add.at(gone, at, 1)
-            np.add.at(gone, at + width, -1)
-            covered = np.cumsum(gone[:-1]) > 0
+            covered = _covered(len(lines), starts, width)
             n_lines.append(len(lines))
             n_removed.append(int(covered.sum()))
-            kept.append("\n".join(x for x, c in zip(lines, covered, strict=True) if not c) if value.is_valid else None)
+            kept.append(_left(lines, covered) if value.is_valid else None)
         yield {"doc_id": batch.column("doc_id"), "n_lines": n_lines, "n_removed": n_removed, "text": pa.array(kept, pa.string())}
 
     return map_batches(joined, "doc_id long, n_lines long, n_removed long, text string", work)
 
 
+def cut_lines(df: DataFrame, starts: str, width: int = WIDTH) -> DataFrame:
+    """``df`` without the column ``starts``, its texts without the lines of the windows that start there (from 0)."""
+    schema = StructType([f for f in df.schema if f.name != starts])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts_of, kept = batch.column("text"), []
+            for value, at in zip(texts_of, batch.column(starts).to_pylist(), strict=True):
+                text = value.as_py()
+                if at and text is not None:
+                    lines = text.split("\n")
+                    text = _left(lines, _covered(len(lines), at, width))
+                kept.append(text)
+            columns = [pa.array(kept, texts_of.type) if n == "text" else batch.column(n) for n in schema.names]
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    let_workers_import(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def repeated_lines(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """doc_id and ``starts``, the lines at which repeated windows start; rows with any only."""
     keep = Kept(docs.sparkSession)

@@ -11,8 +11,8 @@ themselves; the significant segments of a text add up to one p-value, which a lo
 labelled rows turns into a probability.
 
 Scale: the fit uses at most ``FIT_ROWS`` labelled rows, so their ids and labels are small enough to
-send to every task; texts are read where they lie, and only near-copy detection among those rows moves theirs. Token counts leave each
-Arrow batch already summed. What reaches the driver is the lexicon, whose size is a parameter, and a
+send to every task. Their texts are read where they lie and stored once; near-copy detection shuffles those
+and no others. Token counts leave each Arrow batch already summed. What reaches the driver is the lexicon, whose size is a parameter, and a
 histogram of the evidence.
 """
 
@@ -233,11 +233,13 @@ def toxicity_scores(
     known = keep(known.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(fit_rows), "known")
     known = F.broadcast(known)
     source = texts(docs)
+    # The texts to learn from are stored, so that what follows shuffles these and no others.
+    known_texts = keep(source.join(F.broadcast(known.select("doc_id").distinct()), "doc_id"), "known-texts")
     # Copies of a text, near ones too, would count its words again and again: one row of each stands for all.
-    copies = minhash.near_dedup(source.join(known.select("doc_id").distinct(), "doc_id"), NEAR_PERCENT)
+    copies = minhash.near_dedup(known_texts, NEAR_PERCENT)
     once = copies.select("doc_id", "component_id").distinct().join(known, "doc_id")
     once = keep(once.groupBy("component_id", "label").agg(F.min("doc_id").alias("doc_id")), "once").select("doc_id", "label")
-    labelled = source.join(F.broadcast(once), "doc_id").select("text", "label")
+    labelled = known_texts.join(F.broadcast(once), "doc_id").select("text", "label")
     model = fit_lexicon(labelled, keep, least_z=least_z, stem=stem)
     scanned = keep(scan(source, model), "passages")
     scanned = scanned.withColumn("root", F.sqrt("evidence"))

@@ -50,7 +50,7 @@ def test_pipeline_by_brute_force(spark):
     good = [(r.doc_id, docs[r.doc_id]) for r in scored.collect() if r.predicted == 1]
     lines = brute.lines_left(good)
     left = [(d, lines[d][2]) for d, t in good if not lines[d][1] or brute.words(lines[d][2])]
-    near = brute.near_groups(left)
+    near = brute.near_groups(left, corpus_pipeline.NEAR_PERCENT)
     firsts = [(d, t) for d, t in left if near[d][2]]
     words = brute.without_windows(firsts, brute.words, 20)
     sizes = {d: sum(not gone for _, gone in p) for d, p in words.items()}
@@ -72,26 +72,6 @@ def test_pipeline_by_brute_force(spark):
     assert max(filled.values()) <= 2048
 
 
-def test_pipeline_by_brute_force_at_080(spark):
-    docs = {r.doc_id: r.text for r in documents(spark, SF_DIR).collect()}
-    scored = quality.quality_scores(documents(spark, SF_DIR), labels(spark, SF_DIR))
-    good = [(r.doc_id, docs[r.doc_id]) for r in scored.collect() if r.predicted == 1]
-    lines = brute.lines_left(good)
-    left = [(d, lines[d][2]) for d, t in good if not lines[d][1] or brute.words(lines[d][2])]
-    near = brute.near_groups(left, 80)
-    firsts = [(d, t) for d, t in left if near[d][2]]
-    words = brute.without_windows(firsts, brute.words, 20)
-    stages = spark_stages(spark)
-    assert {r.doc_id: r.text for r in stages[2].collect()} == dict(firsts)
-    assert {r.doc_id: brute.words(r.text) for r in stages[3].collect()} == {
-        d: [x for x, gone in p if not gone] for d, p in words.items()
-    }
-    placed = {}
-    for r in stages[4].collect():
-        placed[r.doc_id] = placed.get(r.doc_id, 0) + r.n_words
-    assert placed == {d: n for d, p in words.items() if (n := sum(not gone for _, gone in p))}
-
-
 def test_near_copies_from_080_up_leave_the_pipeline(spark):
     docs = []
     for i in range(40):
@@ -131,3 +111,11 @@ def test_stages_of_odd_rows(spark, odd, none, stage):
         assert got.columns == odd.columns
     assert got.count() <= 10
     assert stage(spark, none, SF_DIR).count() == 0
+
+
+def test_line_stage_takes_time_in_proportion(spark):
+    """A text of 300,000 lines, most of them in repeated windows."""
+    lines = [f"line {i % 70_000}" for i in range(300_000)]
+    docs = frame(spark, [(1, "\n".join(lines)), (2, "\n".join(lines[:10])), (3, None)])
+    got = {r.doc_id: r.text for r in corpus_pipeline.drop_repeated_lines(spark, docs, SF_DIR).collect()}
+    assert got == {1: "\n".join(lines[:70_000]), 3: None}

@@ -5,7 +5,7 @@ import pytest
 from cases import none, odd  # noqa: F401
 from conftest import rows
 
-from areascore.llm import quality, toxicity
+from areascore.llm import minhash, quality, toxicity
 from areascore.llm.batches import documents, labels
 from areascore.scratch import release
 
@@ -118,3 +118,19 @@ def test_rate_solves_its_equation():
     shares, scores = np.array([0.02, 0.01, 0.97]), np.array([3.0, 2.0, -0.3])
     rate = toxicity._rate(shares, scores)
     assert rate > 0 and abs(shares @ np.exp(rate * scores) - 1) < 1e-9
+
+
+def test_only_labelled_texts_are_folded(spark, monkeypatch):
+    """Near-copy detection reads the stored labelled texts, so no plan of it can shuffle the others."""
+    seen = []
+
+    def spy(docs, percent):
+        seen.append(docs)
+        return near_dedup(docs, percent)
+
+    near_dedup = minhash.near_dedup
+    monkeypatch.setattr(toxicity.minhash, "near_dedup", spy)
+    docs, known = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    toxicity.toxicity_scores(docs, known, fit_rows=50).count()
+    assert len(seen) == 1 and 0 < seen[0].count() <= 50
+    assert not any("documents.parquet" in f for f in seen[0].inputFiles())
