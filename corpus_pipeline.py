@@ -47,9 +47,10 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     key, at = unused(docs, "line_doc_id"), unused(docs, "line_starts")
     starts = line_windows.repeated_lines(docs).withColumnsRenamed({"doc_id": key, "starts": at})
     joined = docs.join(starts, docs["doc_id"].cast("long") == starts[key], "left")
-    changed = F.col(at).isNotNull()
-    joined = joined.withColumn("text", F.when(changed, line_windows.without_lines("text", at)).otherwise(F.col("text")))
-    left = joined.filter(~changed | (F.length(F.regexp_replace("text", r"[\x20\x09-\x0D]+", "")) > 0))
+    whole = unused(joined, "line_whole")
+    joined = joined.withColumn(whole, F.col(at).isNull())
+    cut = line_windows.cut_lines(joined.select(*docs.columns, at, whole), at)
+    left = cut.filter(F.col(whole) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return _recounted(docs, left)
 
 
