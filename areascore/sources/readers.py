@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from areascore.functions import to_double, to_integer
+from areascore.sources.csv_records import parse_records, read_records
+from areascore.sources.inference import fits, inferred_types
 
 
 def _typed(name: str, kind: str):
@@ -19,23 +21,41 @@ def _typed(name: str, kind: str):
     return column.try_cast(kind).alias(name)
 
 
+#: Size of a file from which on its byte ranges are read by different tasks.
+SPLIT_BYTES = 64 << 20
+
+
+def _file_sizes(spark: SparkSession, path: str | list[str]) -> list[int]:
+    """Bytes of each file of a path or a folder."""
+    sizes = []
+    for one in [path] if isinstance(path, str) else path:
+        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(one)
+        fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+        for found in fs.globStatus(hadoop_path) or []:
+            folder = fs.listStatus(found.getPath()) if found.isDirectory() else [found]
+            sizes += [status.getLen() for status in folder if status.isFile()]
+    return sizes
+
+
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
     columns: Mapping[str, str] | None = None,
     multi_line: bool = True,
+    split: bool | None = None,
 ) -> DataFrame:
     """CSV with a header; ``"`` inside quotes is doubled.
 
     ``columns`` maps the wanted column names to types; values that do not fit become
-    null. Nothing is inferred, so the file is read once, and only the wanted
+    null. Nothing is inferred (see :func:`read_inferred_csv`), and only the wanted
     columns are parsed. Without ``columns`` every column is a string.
 
     Files of a folder must have the same header; one with other columns, or another order, raises.
 
-    ``multi_line`` accepts line breaks inside quotes but keeps a file whole in one
-    task: deliver large feeds as many files, or switch it off where no field
-    holds a line break.
+    ``multi_line`` accepts line breaks inside quotes. With ``split`` such files are read by as many
+    tasks as they have byte ranges, at the price of a shuffle (``csv_records``); a quote inside a value
+    without quotes then raises if it would change where records end. Without it a file is one
+    task. Left open, files of more than ``SPLIT_BYTES`` are split.
     """
     df = (
         spark.read.option("header", True)
@@ -45,6 +65,10 @@ def read_csv(
         .option("enforceSchema", False)
         .csv(path)
     )
+    if split is None:
+        split = multi_line and max(_file_sizes(spark, path), default=0) > SPLIT_BYTES
+    if split and multi_line and df.columns:
+        df = parse_records(read_records(spark, path), df.columns)
     if columns is None:
         return df
     missing = [name for name in columns if name not in df.columns]
@@ -53,6 +77,26 @@ def read_csv(
     return df.select(*[_typed(name, kind) for name, kind in columns.items()])
 
 
+def read_inferred_csv(
+    spark: SparkSession, path: str | list[str], tolerance: float = 0.0, split: bool | None = None
+) -> DataFrame:
+    """CSV with the narrowest type that holds all but a share ``tolerance`` of each column's values.
+
+    The text is read twice: once for the types, of which one row a column reaches the driver.
+    """
+    text = read_csv(spark, path, split=split)
+    kinds = {row["column"]: row["type"] for row in inferred_types(text, tolerance).collect()}
+    blank = lambda name: F.nullif(F.trim(F.col(f"`{name}`")), F.lit(""))
+    return text.select(
+        *[
+            F.col(f"`{name}`")
+            if kinds.get(name, "string") == "string"
+            else F.when(fits(blank(name), kinds[name]), blank(name)).try_cast(kinds[name]).alias(name)
+            for name in text.columns
+        ]
+    )
+
+
 def read_lookup_csv(spark: SparkSession, path: str) -> DataFrame:
     """Lookup table with a header; every column a string, so codes keep leading zeros."""
     return read_csv(spark, path)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from areascore.operators.cleaning import drop_sentinels, normalize_columns
 from areascore.scratch import scratch_path
 from areascore.sinks import write_csv, write_dataset, write_single_file, write_with_counts
-from areascore.sources import read_csv, read_dataset, read_lookup_csv, read_population
+from areascore.sources import inferred_types, misfits, read_csv, read_dataset, read_inferred_csv, read_lookup_csv, read_population
 from areascore.testbed.cleaning import RAW_CUSTOMERS_SQL, raw_customers
 from areascore.testbed.registry import query, table
 
@@ -38,6 +38,97 @@ def lookup_csv(spark, sf_dir):
     return read_lookup_csv(spark, path)
 
 
+@query(
+    "csv_split_records",
+    """SELECT doc_id, concat(text, chr(10), 'said "', lang, '",', chr(10), chr(10), 'end') AS text, lang, n_chars FROM documents""",
+)
+def csv_split_records(spark, sf_dir):
+    """One file whose texts have line breaks, commas and quotes, read by as many tasks as it has ranges."""
+    path = scratch_path(spark, "documents") + ".csv"
+    awkward = table(spark, sf_dir, "documents").selectExpr(
+        "doc_id", """concat(text, '\n', 'said "', lang, '",', '\n\n', 'end') AS text""", "lang", "n_chars"
+    )
+    write_single_file(awkward, path, "csv")
+    columns = {"doc_id": "bigint", "text": "string", "lang": "string", "n_chars": "bigint"}
+    return read_csv(spark, path, columns, split=True)
+
+
+# Texts of orders: whole numbers, ones beyond 32 bits, prices, dates, moments, words, and mixtures of them.
+RAW_ORDERS = {
+    "small": "CAST(o_orderkey AS {text})",
+    "large": "CAST(o_orderkey * 4000000000 AS {text})",
+    "price": "CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS {text})",
+    "day": "substring(CAST(o_orderdate AS {text}), 1, 10)",
+    "moment": "concat(substring(CAST(o_orderdate AS {text}), 1, 10), ' 12:30:00')",
+    "word": "o_orderpriority",
+    "numbers": "CASE WHEN o_orderkey % 5 = 0 THEN '1.5e3' WHEN o_orderkey % 5 = 1 THEN '' ELSE CAST(o_custkey AS {text}) END",
+    "mixed": "CASE WHEN o_orderkey % 7 = 3 THEN '2020-01-01' ELSE CAST(o_custkey AS {text}) END",
+    "mostly": "CASE WHEN o_orderkey % 50 = 3 THEN 'n/a' ELSE CAST(o_custkey AS {text}) END",
+    "blank": "CASE WHEN o_orderkey % 2 = 0 THEN '  ' END",
+    "no_day": "CASE WHEN o_orderkey % 9 = 1 THEN '2021-02-30' ELSE '2021-02-28' END",
+}
+
+
+def raw_orders(spark, sf_dir):
+    return table(spark, sf_dir, "orders").selectExpr(*[f"{x.format(text='STRING')} AS {name}" for name, x in RAW_ORDERS.items()])
+
+
+FITS = {
+    "int": r"regexp_matches(v, '^[+-]?[0-9]{1,38}$') AND TRY_CAST(v AS HUGEINT) BETWEEN -2147483648 AND 2147483647",
+    "bigint": r"regexp_matches(v, '^[+-]?[0-9]{1,38}$') AND TRY_CAST(v AS BIGINT) IS NOT NULL",
+    "double": r"regexp_matches(v, '^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,3})?$')",
+    "timestamp": r"regexp_matches(v, '^[0-9]{4}-') AND TRY_CAST(v AS TIMESTAMP) IS NOT NULL",
+}
+COUNTED_SQL = "WITH raw AS (SELECT {columns} FROM orders), long AS ({each}), counted AS (SELECT k, count(v) AS n, {counts} FROM long GROUP BY k)".format(
+    columns=", ".join(f"{x.format(text='VARCHAR')} AS {name}" for name, x in RAW_ORDERS.items()),
+    each=" UNION ALL ".join(f"SELECT '{name}' AS k, nullif(trim({name}), '') AS v FROM raw" for name in RAW_ORDERS),
+    counts=", ".join(f"count(*) FILTER ({x}) AS n_{kind}" for kind, x in FITS.items()),
+)
+
+
+@query(
+    "csv_inferred",
+    f"""{COUNTED_SQL} SELECT k AS "column", n, CASE WHEN n = 0 THEN 'string' WHEN n_int >= n * 0.95 THEN 'int'
+      WHEN n_bigint >= n * 0.95 THEN 'bigint' WHEN n_double >= n * 0.95 THEN 'double'
+      WHEN n_timestamp >= n * 0.95 THEN 'timestamp' ELSE 'string' END AS type,
+      CASE WHEN n = 0 THEN 0 WHEN n_int >= n * 0.95 THEN n - n_int WHEN n_bigint >= n * 0.95 THEN n - n_bigint
+      WHEN n_double >= n * 0.95 THEN n - n_double WHEN n_timestamp >= n * 0.95 THEN n - n_timestamp ELSE 0 END AS misfits
+    FROM counted""",
+)
+def csv_inferred(spark, sf_dir):
+    """Types of a written file's columns, of which a twentieth of the values may not fit."""
+    path = scratch_path(spark, "raw-orders")
+    write_csv(raw_orders(spark, sf_dir), path)
+    return inferred_types(read_csv(spark, path), tolerance=0.05).select("column", "n", "type", "misfits")
+
+
+DECLARED = {"small": "int", "large": "int", "price": "double", "numbers": "bigint", "mixed": "double", "mostly": "bigint", "no_day": "timestamp", "word": "string"}
+
+
+@query(
+    "csv_misfits",
+    f"""{COUNTED_SQL} SELECT k AS "column", t AS type, n, n - CASE t WHEN 'int' THEN n_int WHEN 'bigint' THEN n_bigint
+      WHEN 'double' THEN n_double WHEN 'timestamp' THEN n_timestamp ELSE n END AS misfits
+    FROM counted JOIN (VALUES {", ".join(f"('{c}', '{t}')" for c, t in DECLARED.items())}) AS declared(c, t) ON c = k""",
+)
+def csv_misfits(spark, sf_dir):
+    path = scratch_path(spark, "raw-orders")
+    write_csv(raw_orders(spark, sf_dir), path)
+    return misfits(read_csv(spark, path), DECLARED)
+
+
+@query(
+    "csv_read_inferred",
+    """SELECT CAST(o_orderkey AS INTEGER) AS small, o_orderkey * 4000000000 AS large,
+      CAST(CAST(o_totalprice AS DECIMAL(18, 2)) AS DOUBLE) AS price, o_orderpriority AS word,
+      CASE WHEN o_orderkey % 50 <> 3 THEN CAST(o_custkey AS INTEGER) END AS mostly FROM orders""",
+)
+def csv_read_inferred(spark, sf_dir):
+    path = scratch_path(spark, "raw-orders")
+    write_csv(raw_orders(spark, sf_dir), path)
+    return read_inferred_csv(spark, path, tolerance=0.05).select("small", "large", "price", "word", "mostly")
+
+
 @query("csv_many_files", "SELECT o_orderkey, o_orderpriority, o_totalprice FROM orders")
 def csv_many_files(spark, sf_dir):
     path = scratch_path(spark, "orders-csv")
