@@ -1,7 +1,7 @@
 """GeoJSON polygons as rows.
 
-Two layouts are read: one FeatureCollection document, or one feature per line.
-The second splits across tasks and is the one for large polygon sets.
+Two layouts are read: FeatureCollection documents, or one feature per line. Large documents are
+read by byte ranges (``feature_collections``), files of lines split by themselves.
 """
 
 from __future__ import annotations
@@ -11,6 +11,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from areascore.sources.feature_collections import read_feature_texts
+from areascore.sources.ranges import SPLIT_BYTES, file_sizes
+
 # Property names under which published area files keep code and name.
 CODE_FIELDS = ["ntacode", "NTACode", "ntacode2020", "NTA2020", "nta2020", "nta_code"]
 NAME_FIELDS = ["ntaname", "NTAName", "nta_name", "NTA_NAME"]
@@ -39,13 +42,19 @@ def read_features(
     per_line: bool = False,
     order_field: str | None = None,
     blank_is_missing: bool = False,
+    split: bool | None = None,
 ) -> DataFrame:
     """``(ord, area_code, area_name, geometry_type, coordinates)``, one row per feature.
 
     The first alias with a value gives code and name. ``ord`` is the position
     in the document. Lines of a split file have no position, so with ``per_line`` the
     property ``order_field`` gives it, and without one the area code decides.
+
+    With ``split`` a document is read by as many tasks as it has byte ranges, without it by one; left
+    open, documents of more than ``SPLIT_BYTES`` are split.
     """
+    if split is None:
+        split = not per_line and max(file_sizes(spark, path), default=0) > SPLIT_BYTES
     if per_line:
         lines = spark.read.schema(
             "properties map<string, string>, geometry struct<type: string, coordinates: string>"
@@ -54,6 +63,9 @@ def read_features(
         if order_field is not None:
             order = F.try_element_at(F.col("properties"), F.lit(order_field)).try_cast("long")
         rows = lines.select(order.alias("ord"), F.col("properties"), F.col("geometry"))
+    elif split:
+        parsed = read_feature_texts(spark, path).withColumn("f", F.from_json("feature", _FEATURE))
+        rows = parsed.select("ord", F.col("f.properties").alias("properties"), F.col("f.geometry").alias("geometry"))
     else:
         document = (
             spark.read.schema(f"features array<{_FEATURE}>").option("multiLine", True).json(path)
@@ -124,8 +136,9 @@ def read_polygons(
     name_fields: Sequence[str] = NAME_FIELDS,
     per_line: bool = False,
     order_field: str | None = None,
+    split: bool | None = None,
 ) -> DataFrame:
     """Polygons of a GeoJSON file, ready for ``operators.spatial``."""
     return polygon_edges(
-        read_features(spark, path, code_fields, name_fields, per_line, order_field)
+        read_features(spark, path, code_fields, name_fields, per_line, order_field, split=split)
     )

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
+#: Size of a file from which on its byte ranges are read by different tasks.
+SPLIT_BYTES = 64 << 20
 #: A range: the file and its first byte.
 RANGE = ["file", "start"]
 
@@ -70,3 +72,15 @@ def joined_across(parts: DataFrame, text: str, separator: str) -> DataFrame:
             F.transform(F.array_sort(F.collect_list(F.struct("start", "place", text))), lambda part: part[text]), separator
         ).alias(text),
     )
+
+
+def file_sizes(spark: SparkSession, path: str | list[str]) -> list[int]:
+    """Bytes of each file of a path or a folder."""
+    sizes = []
+    for one in [path] if isinstance(path, str) else path:
+        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(one)
+        fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+        for found in fs.globStatus(hadoop_path) or []:
+            folder = fs.listStatus(found.getPath()) if found.isDirectory() else [found]
+            sizes += [status.getLen() for status in folder if status.isFile()]
+    return sizes

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from areascore.functions import to_double, to_integer
 from areascore.sources.csv_records import parse_records, read_records
 from areascore.sources.inference import fits, inferred_types
+from areascore.sources.ranges import SPLIT_BYTES, file_sizes
 
 
 def _typed(name: str, kind: str):
@@ -21,22 +22,6 @@ def _typed(name: str, kind: str):
     return column.try_cast(kind).alias(name)
 
 
-#: Size of a file from which on its byte ranges are read by different tasks.
-SPLIT_BYTES = 64 << 20
-
-
-def _file_sizes(spark: SparkSession, path: str | list[str]) -> list[int]:
-    """Bytes of each file of a path or a folder."""
-    sizes = []
-    for one in [path] if isinstance(path, str) else path:
-        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(one)
-        fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-        for found in fs.globStatus(hadoop_path) or []:
-            folder = fs.listStatus(found.getPath()) if found.isDirectory() else [found]
-            sizes += [status.getLen() for status in folder if status.isFile()]
-    return sizes
-
-
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -66,7 +51,7 @@ def read_csv(
         .csv(path)
     )
     if split is None:
-        split = multi_line and max(_file_sizes(spark, path), default=0) > SPLIT_BYTES
+        split = multi_line and max(file_sizes(spark, path), default=0) > SPLIT_BYTES
     if split and multi_line and df.columns:
         df = parse_records(read_records(spark, path), df.columns)
     if columns is None:

@@ -119,19 +119,38 @@ def edges(spark, sf_dir):
     return round_columns(rows, "x1", "y1", "x2", "y2")
 
 
+DOCUMENT_FEATURES = 100
+
+
+def documents_path(spark, sf_dir):
+    """FeatureCollection documents of bounded size, with other objects and awkward texts around the features."""
+    path = scratch_path(spark, "geojson-documents")
+    numbered = geojson_lines(spark, sf_dir).withColumn("key", F.get_json_object("value", "$.properties.ord").cast("long"))
+    numbered = numbered.withColumn("document", F.floor(F.col("key") / DOCUMENT_FEATURES))
+    first = numbered.groupBy("document").agg(F.min("key").alias("key"))
+    head = '{"type": "FeatureCollection", "crs": {"a": {"b": "} ]"}}, "name": "x \\" {", "features": ['
+    rows = [
+        numbered.join(first.withColumnRenamed("key", "least"), "document").select(
+            "document", "key", F.concat(F.when(F.col("key") > F.col("least"), ", ").otherwise(""), "value").alias("value")
+        ),
+        first.select("document", F.lit(-1).alias("key"), F.lit(head).alias("value")),
+        first.select("document", F.lit(1 << 62).alias("key"), F.lit('], "bbox": [0, 1], "list": [{"a": 1}, {"b": 2}]}').alias("value")),
+    ]
+    lines = rows[0].unionByName(rows[1]).unionByName(rows[2]).repartition("document")
+    lines.sortWithinPartitions("document", "key").select("document", "value").write.partitionBy("document").text(path)
+    return path
+
+
 @query(
     "polygon_edges_document",
-    f"""WITH {EDGES_SQL} SELECT ord, area_code, area_name, {r('x1')}, {r('y1')}, {r('x2')}, {r('y2')}
-    FROM edges""",
+    f"""WITH {EDGES_SQL}, places AS (SELECT s_suppkey AS ord,
+        row_number() OVER (PARTITION BY s_suppkey // {DOCUMENT_FEATURES} ORDER BY s_suppkey) - 1 AS place FROM supplier)
+    SELECT place AS ord, area_code, area_name, {r('x1')}, {r('y1')}, {r('x2')}, {r('y2')}
+    FROM edges JOIN places USING (ord)""",
 )
-def edges_of_document(spark, sf_dir):
-    """The same features as one FeatureCollection document."""
-    path = scratch_path(spark, "geojson-document")
-    features = F.concat_ws(",", F.collect_list("value"))
-    geojson_lines(spark, sf_dir).agg(
-        F.concat(F.lit('{"type": "FeatureCollection", "features": ['), features, F.lit("]}")).alias("value")
-    ).write.text(path)
-    rows = polygon_edges(read_features(spark, path, order_field="ord"))
+def edges_of_documents(spark, sf_dir):
+    """The same features in FeatureCollection documents, read by byte ranges; ``ord`` is the place in the document."""
+    rows = polygon_edges(read_features(spark, f"{documents_path(spark, sf_dir)}/*", split=True))
     return round_columns(
         rows.select("ord", "area_code", "area_name", F.inline("edges")), "x1", "y1", "x2", "y2"
     )
