@@ -11,6 +11,10 @@ of a cell toggles the answer at ``lo`` and at ``hi``, whatever x is. Vertices sh
 edges toggle twice and cancel, which leaves very few heights (``turns``) to keep for
 all the geometry to the right of a cell.
 
+Comparisons are exact: heights and cell numbers are compared as they are (sides are powers of two), and on which
+side of an edge a point lies is decided by ``functions.orientation``. So a point next to an edge that two areas share
+falls in one of them, and one on it in none.
+
 The cell side is a power of two picked per polygon from its own extent, so a large polygon
 does not break into very many cells nor a small one hide in a cell with hundreds
 of others. Polygons of one cell side form a level. Levels small enough to be sent to every executor
@@ -24,6 +28,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from areascore.functions.orientation import orientation
 from areascore.scratch import materialize
 
 # Cells along the longer side of a polygon, as a share of the root of its number of edges: at least so
@@ -66,18 +71,18 @@ def _crossing_state(candidate: Column, x: Column, y: Column) -> Column:
     turned = F.size(F.filter(candidate["turns"], lambda turn: turn <= y))
 
     def step(state: Column, e: Column) -> Column:
-        rise = e["y2"] - e["y1"]
-        on_edge = (
-            ((e["x2"] - e["x1"]) * (y - e["y1"]) == rise * (x - e["x1"]))
-            & (x >= F.least(e["x1"], e["x2"]))
-            & (x <= F.greatest(e["x1"], e["x2"]))
-            & (y >= F.least(e["y1"], e["y2"]))
-            & (y <= F.greatest(e["y1"], e["y2"]))
-        )
-        at = e["x1"] + (y - e["y1"]) * (e["x2"] - e["x1"]) / F.nullif(rise, F.lit(0.0))
-        crosses = ((e["y1"] > y) != (e["y2"] > y)) & (x < at)
+        # Only an edge whose box the point can be in, or that its ray can meet, needs its side known.
+        level = (y >= F.least(e["y1"], e["y2"])) & (y <= F.greatest(e["y1"], e["y2"]))
+        crosses = (e["y1"] > y) != (e["y2"] > y)
+        behind = x > F.greatest(e["x1"], e["x2"])
+        ahead = x < F.least(e["x1"], e["x2"])
+        towards = F.when(e["y2"] > e["y1"], F.lit(1.0)).otherwise(F.lit(-1.0))
+        side = orientation(e["x1"], e["y1"], e["x2"], e["y2"], x, y) * towards
+        crossed = F.when(crosses, F.lit(1) - state).otherwise(state)
         return (
-            F.when((state == 2) | on_edge, F.lit(2)).when(crosses, F.lit(1) - state).otherwise(state)
+            F.when((state == 2) | ~level | behind, state)
+            .when(ahead, crossed)
+            .otherwise(F.get(F.array(state, F.lit(2), crossed), (side + 1).cast("int")))
         )
 
     return F.aggregate(candidate["edges"], (candidate["start"] + turned) % 2, step)

@@ -221,6 +221,48 @@ def spatial_join_crowded(spark, sf_dir):
     return round_columns(locate_points(spread(points(spark, sf_dir)), index, "x", "y"), "x", "y")
 
 
+# Points on the edges, and next to them by about one unit in the last place.
+STEP = "CAST(power(2.0, -46) AS DOUBLE)"
+NEAR_X = "x1 + (x2 - x1) * (m / 8.0e0) + (d % 3 - 1) * {step}"
+NEAR_Y = "y1 + (y2 - y1) * (m / 8.0e0) + (floor(d / 3) - 1) * {step}"
+
+
+def points_near_edges(spark, sf_dir):
+    edges = polygons(spark, sf_dir).select("ord", F.posexplode("edges").alias("edge", "e")).select("ord", "e.*")
+    spread_out = edges.selectExpr("*", "explode(sequence(0, 8)) AS m").selectExpr("*", "explode(sequence(0, 8)) AS d")
+    return spread_out.selectExpr(
+        "ord", "m", "d", f"{NEAR_X.format(step=STEP)} AS x", f"{NEAR_Y.format(step=STEP)} AS y"
+    )
+
+
+@query(
+    "spatial_join_near_edges",
+    f"""WITH {EDGES_SQL},
+      near AS (SELECT DISTINCT {NEAR_X.format(step=STEP)} AS x, {NEAR_Y.format(step=STEP)} AS y
+        FROM edges, range(0, 9) AS ms(m), range(0, 9) AS ds(d)),
+      pts AS (SELECT x, y, CAST(x * power(2.0, 60) AS HUGEINT) AS px, CAST(y * power(2.0, 60) AS HUGEINT) AS py FROM near),
+      scaled AS (SELECT ord, CAST(x1 * 1024 AS HUGEINT) AS a1, CAST(y1 * 1024 AS HUGEINT) AS b1,
+        CAST(x2 * 1024 AS HUGEINT) AS a2, CAST(y2 * 1024 AS HUGEINT) AS b2 FROM edges),
+      boxes AS (SELECT ord, min(least(x1, x2)) AS x_lo, max(greatest(x1, x2)) AS x_hi,
+        min(least(y1, y2)) AS y_lo, max(greatest(y1, y2)) AS y_hi FROM edges GROUP BY ord),
+      sides AS (SELECT x, y, px, py, ord, a1 * CAST(1125899906842624 AS HUGEINT) AS x1, b1 * CAST(1125899906842624 AS HUGEINT) AS y1, a2 * CAST(1125899906842624 AS HUGEINT) AS x2, b2 * CAST(1125899906842624 AS HUGEINT) AS y2,
+        (a2 - a1) * (py - b1 * CAST(1125899906842624 AS HUGEINT)) - (b2 - b1) * (px - a1 * CAST(1125899906842624 AS HUGEINT)) AS det
+        FROM pts JOIN boxes ON x BETWEEN x_lo AND x_hi AND y BETWEEN y_lo AND y_hi JOIN scaled USING (ord)),
+      tested AS (SELECT x, y, ord,
+        count(*) FILTER ((y1 > py) <> (y2 > py) AND sign(det) = CASE WHEN y2 > y1 THEN 1 ELSE -1 END) AS crossings,
+        count(*) FILTER (det = 0 AND px BETWEEN least(x1, x2) AND greatest(x1, x2)
+          AND py BETWEEN least(y1, y2) AND greatest(y1, y2)) AS touches
+        FROM sides GROUP BY x, y, ord),
+      hit AS (SELECT x, y, min(ord) AS ord FROM tested WHERE crossings % 2 = 1 AND touches = 0 GROUP BY x, y)
+    SELECT pts.x, pts.y, area_code FROM pts LEFT JOIN hit USING (x, y) LEFT JOIN areas USING (ord)""",
+)
+def spatial_join_near_edges(spark, sf_dir):
+    """Next to edges and on them, where rounding decides for any test that is not exact."""
+    index = build_cells(spread(polygons(spark, sf_dir)))
+    near = points_near_edges(spark, sf_dir).select("x", "y").distinct()
+    return locate_points(near, index, "x", "y").select("x", "y", "area_code")
+
+
 @query(
     "spatial_hit_rate",
     f"""WITH {LOCATED_SQL} SELECT count(*) AS total, count(area_code) AS hits,
