@@ -4,34 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from areascore.functions import finite, percent_of_range, score_tier
-from areascore.operators.ranking import global_rank
+from areascore.operators.order_statistics import values_at
 from areascore.operators.scoring import attach_row
 
 
-def quantile_breaks(long: DataFrame, key: str, n: int = 7, pieces: int | None = None) -> DataFrame:
+def quantile_breaks(long: DataFrame, key: str | None = None, n: int = 7) -> DataFrame:
     """``(metric, break_index, break_value)``: the ``n - 1`` class breaks of each metric.
 
-    Break ``i`` is the sorted value at position ``floor(i / n * count)``, counted from 0.
+    Break ``i`` is the sorted value at position ``floor(i / n * count)``, counted from 0. Rows are
+    not sorted, so ``key`` has no say any more; callers may still name it.
     """
-    known = long.filter(finite(F.col("value")).isNotNull())
-    ranked = global_rank(
-        known.select("metric", key, "value"), "metric", [F.asc("value"), F.asc(key)], pieces=pieces
-    )
-    positions = F.transform(
-        F.sequence(F.lit(1), F.lit(n - 1)),
-        lambda i: F.struct(
-            i.alias("break_index"),
-            F.least(F.floor(i / F.lit(float(n)) * F.col("n")), F.col("n") - 1).alias("at"),
-        ),
-    )
-    wanted = F.filter(positions, lambda p: p["at"] == F.col("rn") - 1)
-    return ranked.select("metric", F.col("value"), F.explode(wanted).alias("p")).select(
-        "metric", F.col("p.break_index").alias("break_index"), F.col("value").alias("break_value")
-    )
+
+    def positions(count: Column) -> Column:
+        return F.transform(
+            F.sequence(F.lit(1), F.lit(n - 1)),
+            lambda i: F.struct(i.alias("label"), F.least(F.floor(i / F.lit(float(n)) * count), count - 1).alias("at")),
+        )
+
+    return values_at(long, positions).withColumnsRenamed({"label": "break_index", "value": "break_value"})
 
 
 def choropleth_class(long: DataFrame, breaks: DataFrame) -> DataFrame:
