@@ -15,13 +15,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from areascore.functions import finite
 from areascore.scratch import materialize
 
-BINS = 4096
+BINS = 1 << 16
 
 
 def _step(value: Column) -> Column:
@@ -34,18 +34,37 @@ def _bin(value: Column, lo: Column, hi: Column, bins: int) -> Column:
     return F.least(F.floor((value - lo) / (hi - lo) * bins), F.lit(bins - 1)).cast("long")
 
 
-def _narrowed(values: DataFrame, targets: DataFrame, group: str, bin_of: Callable[[Column, Column, Column], Column]) -> DataFrame:
+def _bins_of(met: DataFrame, keys: Sequence[str], number: Column) -> DataFrame:
+    """``(keys, n, least, most, up_to)``: the values in each bin and those in all bins up to it."""
+    value = F.col("value")
+    counted = met.groupBy(*keys, number.alias("bin")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(value).alias("least"), F.max(value).alias("most")
+    )
+    # At most as many rows as bins in a window.
+    return counted.withColumn("up_to", F.sum("n").over(Window.partitionBy(*keys).orderBy("bin")))
+
+
+def _first_bins(values: DataFrame, positions: Callable[[Column], Column], group: str) -> DataFrame:
+    """``(group, label, at, below, lo, hi)``: each position with the bounds of its bin and the values below it."""
+    placed = _bins_of(values, [group], _step(F.col("value")))
+    sizes = placed.groupBy(group).agg(F.max("up_to").alias("size"))
+    targets = sizes.select(F.col(group).alias("_group"), F.explode(positions(F.col("size"))).alias("p"))
+    targets = targets.select("_group", "p.label", F.col("p.at").cast("long").alias("at"))
+    below = F.col("up_to") - F.col("n")
+    holds = (F.col(group) == F.col("_group")) & (F.col("at") >= below) & (F.col("at") < F.col("up_to"))
+    return placed.join(targets, holds).select(
+        group, "label", "at", below.alias("below"), F.col("least").alias("lo"), F.col("most").alias("hi")
+    )
+
+
+def _narrowed(values: DataFrame, targets: DataFrame, group: str, bins: int) -> DataFrame:
     """``targets`` with the bounds of the bins that hold them."""
     # One row for each range that a target is still in, and ranges do not overlap: a row meets one at most.
     ranges = targets.filter("lo < hi").select(F.col(group).alias("_group"), "lo", "hi").distinct()
     value = F.col("value")
     met = values.join(F.broadcast(ranges), (F.col(group) == F.col("_group")) & value.between(F.col("lo"), F.col("hi")))
-    counted = met.groupBy("_group", "lo", "hi", bin_of(value, F.col("lo"), F.col("hi")).alias("bin")).agg(
-        F.count(F.lit(1)).alias("n"), F.min(value).alias("least"), F.max(value).alias("most")
-    )
-    # At most as many rows as bins in a window.
-    up_to = F.sum("n").over(Window.partitionBy("_group", "lo", "hi").orderBy("bin"))
-    placed = counted.withColumn("up_to", up_to).withColumnsRenamed({"lo": "_lo", "hi": "_hi"})
+    placed = _bins_of(met, ["_group", "lo", "hi"], _bin(value, F.col("lo"), F.col("hi"), bins))
+    placed = placed.withColumnsRenamed({"lo": "_lo", "hi": "_hi"})
     at = F.col("at") - F.col("below")
     same = (F.col(group) == F.col("_group")) & (F.col("lo") == F.col("_lo")) & (F.col("hi") == F.col("_hi"))
     held = targets.join(placed, same & (at < F.col("up_to")) & (at >= F.col("up_to") - F.col("n")), "left")
@@ -70,15 +89,13 @@ def values_at(
     """
     values = long.select(group, finite(F.col("value").cast("double")).alias("value")).filter("value is not null")
     values = values.withColumn("value", F.col("value") + F.lit(0.0))  # -0.0 is 0.0
-    sizes = values.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-    targets = sizes.select(group, F.explode(positions(F.col("n"))).alias("p"), "lo", "hi")
-    targets = targets.select(group, "p.label", F.col("p.at").cast("long").alias("at"), F.lit(0).cast("long").alias("below"), "lo", "hi")
-    targets = materialize(targets, "positions")
-    bin_of = lambda value, lo, hi: _step(value)
-    while not targets.filter("lo < hi").isEmpty():
-        targets = materialize(_narrowed(values, targets, group, bin_of), "positions")
-        bin_of = lambda value, lo, hi: _bin(value, lo, hi, bins)
-    return targets.select(group, "label", F.col("lo").alias("value"))
+    targets = _first_bins(values, positions, group)
+    while True:
+        seen = Observation()
+        targets = materialize(targets.observe(seen, F.count_if(F.col("lo") < F.col("hi")).alias("open")), "positions")
+        if not seen.get["open"]:
+            return targets.select(group, "label", F.col("lo").alias("value"))
+        targets = _narrowed(values, targets, group, bins)
 
 
 def exact_quantiles(long: DataFrame, shares: Sequence[float], group: str = "metric") -> DataFrame:
