@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from areascore.functions import plus_zero
+from areascore.functions import finite, plus_zero
 
 
 @dataclass(frozen=True)
@@ -106,9 +106,13 @@ def gate_scores(df: DataFrame, spec: ScoreSpec) -> DataFrame:
 
 
 def minmax_rescale(df: DataFrame, column: str, rescaled: str, flat: float = 50.0) -> DataFrame:
-    """Adds ``column`` rescaled to 0–100; null stays null, ``flat`` where there is no range."""
-    bounds = df.agg(F.min(column).alias("_lo"), F.max(column).alias("_hi"))
-    lo, hi, value = F.col("_lo"), F.col("_hi"), F.col(column)
+    """Adds ``column`` rescaled to 0–100, ``flat`` where there is no range.
+
+    What is not finite has no part in the range and becomes null, as null does.
+    """
+    value = finite(F.col(column).cast("double"))
+    bounds = df.agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
+    lo, hi = F.col("_lo"), F.col("_hi")
     scaled = F.lit(100.0) * (value - lo) / F.nullif(hi - lo, F.lit(0.0))
     return (
         attach_row(df, bounds)

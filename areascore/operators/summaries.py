@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areascore.functions import pair_correlation, quantile
+from areascore.functions import finite, pair_correlation, quantile
 from areascore.operators.ranking import global_rank, ntile_of
 
 
@@ -52,9 +52,9 @@ def metric_summary(
 ) -> DataFrame:
     """Mean, median, range, population deviation and count per metric, with its metadata.
 
-    A metric without values keeps its row, with nulls and a zero count.
+    A metric without values keeps its row, with nulls and a zero count; NaN and infinities are no values.
     """
-    stats = long.groupBy("metric").agg(
+    stats = _known(long).groupBy("metric").agg(
         F.avg("value").alias("mean"),
         quantile(F.col("value"), 0.5, accuracy).alias("median"),
         F.min("value").alias("min"),
@@ -65,9 +65,14 @@ def metric_summary(
     return metadata.join(stats, "metric", "left").fillna(0, subset=[count])
 
 
+def _known(long: DataFrame) -> DataFrame:
+    """Rows with a finite value."""
+    return long.filter(finite(F.col("value").cast("double")).isNotNull())
+
+
 def metric_bounds(long: DataFrame) -> DataFrame:
-    """``(metric, lo, hi, n)``."""
-    return long.groupBy("metric").agg(
+    """``(metric, lo, hi, n)`` of the finite values."""
+    return _known(long).groupBy("metric").agg(
         F.min("value").alias("lo"), F.max("value").alias("hi"), F.count("value").alias("n")
     )
 
@@ -76,8 +81,9 @@ def histogram(long: DataFrame, bins: int = 24, dense: bool = False) -> DataFrame
     """``(metric, bin_center, bin_lo, bin_hi, count)`` in equal-width bins.
 
     The top edge belongs to the last bin. Empty bins are left out unless ``dense``.
-    A metric with a single value gives one bin of width zero.
+    A metric with a single value gives one bin of width zero. NaN and infinities are in no bin.
     """
+    long = _known(long)
     # One row per metric.
     bounds = F.broadcast(metric_bounds(long).withColumn("width", (F.col("hi") - F.col("lo")) / bins))
     spread = F.col("hi") > F.col("lo")
