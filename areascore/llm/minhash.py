@@ -14,7 +14,8 @@ other candidate has bound their similarity with every other. So no pair is skipp
 bucket.
 
 There are as many bands of 5 minima as it takes for a pair at the threshold to share no bucket once in two
-million times: 25 at 0.85, 37 at 0.80.
+million times: 25 at 0.85, 37 at 0.80. Signatures rule out a thousand times fewer pairs at the threshold than the bands miss,
+and none of the pairs that the exact join finds.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ MISSED = 4.4e-7  # share of the pairs at the threshold that share no bucket
 PERCENT = 85
 SMALL_BUCKET = 32
 HUBS = 4
-SIGNATURE_SLACK = 5.0  # standard deviations below the threshold at which signatures rule a pair out
+RULED_OUT = MISSED / 1000  # share of the pairs at the threshold that their signatures may rule out
 
 
 def n_bands(percent: int) -> int:
@@ -47,6 +48,17 @@ def n_bands(percent: int) -> int:
     return math.ceil(math.log(MISSED) / math.log1p(-(share**ROWS)))
 
 
+def least_agreement(percent: int) -> int:
+    """Minima that two signatures agree in at least, but for ``RULED_OUT`` of the pairs at the threshold."""
+    share, n = percent / 100, n_bands(percent) * ROWS
+    below = 0.0
+    for k in range(n + 1):
+        below += math.comb(n, k) * share**k * (1 - share) ** (n - k)
+        if below > RULED_OUT:
+            return k
+    return n
+
+
 def _hashes(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Factors and shifts of ``n`` multiply-shift hashes."""
     random = np.random.Generator(np.random.PCG64(77))
@@ -114,10 +126,9 @@ def _full_sets(docs: DataFrame, n_minima: int) -> DataFrame:
     return map_batches(docs, "id long, n long, shingles array<long>, minima array<int>", work)
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose sets are similar enough: first by signature, then exactly."""
-    share, n_minima = percent / 100, n_bands(percent) * ROWS
-    least = (share - SIGNATURE_SLACK * (share * (1 - share) / n_minima) ** 0.5) * n_minima
+def _confirm(pairs: DataFrame, sets: DataFrame, percent: int, least: int) -> DataFrame:
+    """Pairs (a, b) whose sets are similar enough, of those whose signatures agree in ``least`` minima."""
+    n_minima = n_bands(percent) * ROWS
 
     def side(name: str) -> DataFrame:
         return sets.select(
@@ -201,7 +212,7 @@ def _links(members: DataFrame, sets: DataFrame, keep: Kept, percent: int) -> Dat
     hubs = keep(large.withColumn("place", place).filter(F.col("place") <= HUBS).drop("place"), "hubs")
     pairs = _pairs(small, small, percent, F.col("x") < F.col("y"))
     pairs = pairs.unionAll(_pairs(hubs, large, percent, F.col("x") < F.col("y"))).distinct()
-    links = keep(_confirm(pairs, sets, percent), "links")
+    links = keep(_confirm(pairs, sets, percent, least_agreement(percent)), "links")
     found = keep(connected_components(links), "components")
     if hubs.isEmpty():
         return found
@@ -209,7 +220,8 @@ def _links(members: DataFrame, sets: DataFrame, keep: Kept, percent: int) -> Dat
     placed = keep(placed.select("key", "id", "component"), "members")
     mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
     rest = placed.join(mixed.filter("x < y").select("key"), "key", "left_semi").select("id", "component").distinct()
-    more = keep(_confirm(_prefix_pairs(keep(rest, "rest"), sets, keep, percent), sets, percent), "links")
+    # These pairs are exact: signatures have no say.
+    more = keep(_confirm(_prefix_pairs(keep(rest, "rest"), sets, keep, percent), sets, percent, 0), "links")
     # Components so far count as stars, so only what is new has to be closed.
     stars = found.filter("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
     return connected_components(stars.unionAll(more)) if not more.isEmpty() else found

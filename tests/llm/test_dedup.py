@@ -1,3 +1,5 @@
+import math
+
 import brute
 import pytest
 from cases import corpus, documents_frame, none, odd  # noqa: F401
@@ -65,6 +67,23 @@ def test_near_dedup_of_large_buckets(documents_frame, corpus, monkeypatch):
     assert as_dict(minhash.near_dedup(documents_frame)) == brute.near_groups(corpus)
 
 
+@pytest.mark.parametrize("percent", [80, 85, 99])
+def test_signatures_rule_out_less_than_bands_miss(percent):
+    n, share, least = minhash.n_bands(percent) * minhash.ROWS, percent / 100, minhash.least_agreement(percent)
+    lost = sum(math.comb(n, k) * share**k * (1 - share) ** (n - k) for k in range(least))
+    assert lost <= minhash.MISSED / 1000
+
+
+def test_pairs_of_the_exact_join_are_confirmed_without_signatures(spark):
+    """Sets above and below the threshold whose signatures agree in nothing."""
+    n = minhash.n_bands(85) * minhash.ROWS
+    rows_ = [(i, 20 - i, list(range(i, 20)), [i] * n) for i in (0, 2, 4)]
+    sets = spark.createDataFrame(rows_, "id long, n long, shingles array<long>, minima array<int>")
+    pairs = spark.createDataFrame([(0, 2), (0, 4), (2, 4)], "a long, b long")
+    assert rows(minhash._confirm(pairs, sets, 85, 0)) == [(0, 2), (2, 4)]
+    assert rows(minhash._confirm(pairs, sets, 85, minhash.least_agreement(85))) == []
+
+
 def test_near_dedup_of_odd_rows(odd, none):
     got = rows(minhash.near_dedup(odd))
     assert got == sorted(
