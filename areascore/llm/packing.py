@@ -129,16 +129,30 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return map_batches(texts(docs, F.col("source").cast("string").alias("source")), schema, work)
 
 
+def _numbered(items: DataFrame, block: int = 1 << 14) -> DataFrame:
+    """``items`` with copy, the number of a row among the rows equal to it.
+
+    Equal rows meet as a count and are dealt out again in blocks, so no task holds more of them than others.
+    """
+    starts = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(block).cast("long")))
+    counted = items.groupBy(*items.columns).agg(F.count("*").alias("copies"))
+    blocks = counted.select("*", starts.alias("start"))
+    blocks = blocks.repartition("doc_id", "part", "cluster", "start")
+    last = F.least(F.col("copies"), F.col("start") + block) - 1
+    return blocks.select(*items.columns, F.explode(F.sequence("start", last)).alias("copy"))
+
+
 def pack(items: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROWS) -> DataFrame:
     """``items`` as :func:`pieces` gives them, with bin_id and bin_offset, the words before in the bin."""
     spark = items.sparkSession
     keep = Kept(spark)
     items = keep(items, "pieces")
+    groups = items.filter(F.col("n_words") < capacity).count() // group_rows + 1
+    items = _numbered(items)
     small = items.filter(F.col("n_words") < capacity)
-    groups = small.count() // group_rows + 1
 
     def packed(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["n_words", "doc_id", "part"], ascending=[False, True, True], kind="stable")
+        rows = rows.sort_values(["n_words", "doc_id", "part", "copy"], ascending=[False, True, True, True], kind="stable")
         bins = Bins(capacity)
         found = [
             bins.put(*x)
@@ -146,17 +160,19 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group_rows: int = GROUP_ROW
         ]
         rows["bin_id"] = [f"{g}-{b}" for g, (b, _) in zip(rows["group"], found, strict=True)]
         rows["bin_offset"] = [before for _, before in found]
-        return rows.drop(columns="group")
+        return rows.drop(columns=["group", "copy"])
 
     schema = (
         "doc_id long, source string, cluster binary, part long, first_word long, n_words long, "
         "bin_id string, bin_offset long"
     )
-    group = F.pmod(F.xxhash64("doc_id", "part", "cluster"), F.lit(groups)).alias("group")
+    group = F.pmod(F.xxhash64("doc_id", "part", "cluster", "copy"), F.lit(groups)).alias("group")
     searched = small.select("*", group).groupBy("group").applyInPandas(packed, schema)
+    name = [F.col("doc_id").cast("string"), F.col("part").cast("string"), F.col("copy").cast("string")]
+    name += [F.hex("cluster"), F.concat(F.lit("of "), F.col("source"))]
     full = items.filter(F.col("n_words") == capacity).select(
-        "*",
-        F.concat(F.lit("full-"), F.monotonically_increasing_id()).alias("bin_id"),
+        *[c for c in items.columns if c != "copy"],
+        F.concat_ws("-", F.lit("full"), *[F.coalesce(c, F.lit("")) for c in name]).alias("bin_id"),
         F.lit(0).cast("long").alias("bin_offset"),
     )
     return searched.unionAll(full)
@@ -167,7 +183,8 @@ def best_fit_packing(docs: DataFrame, capacity: int = CAPACITY, group_rows: int
 
     Null and texts without words need no room and have no row. Ties between bins of the same rest go to
     the older bin, between pieces of a size to the smaller doc_id. Pieces without a source conflict
-    with no source. Repeated rows are packed each, in different bins, being duplicates.
+    with no source. Repeated rows are packed each, in different bins, being duplicates; they are dealt over all
+    groups like other rows. Names of bins do not depend on how the input is partitioned.
     """
     return pack(pieces(docs, capacity), capacity, group_rows).select(
         "bin_id", "bin_offset", "doc_id", "part", "first_word", "n_words", "source"

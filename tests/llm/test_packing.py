@@ -63,3 +63,25 @@ def test_packing_of_odd_rows(spark, odd, none):
     twice = spark.createDataFrame([(1, "a b", None), (1, "a b", None), (2, "c d", None)], "doc_id long, text string, source string")
     bins = packing.best_fit_packing(twice, 10).select("bin_id", "doc_id").collect()
     assert len({r.bin_id for r in bins if r.doc_id == 1}) == 2
+
+
+def test_repeated_rows_are_dealt_over_groups(spark):
+    """Rows that are equal, with and without ids, spread like others; each is packed once."""
+    docs = spark.range(9_000).selectExpr("IF(id % 3 = 0, 1, IF(id % 3 = 1, NULL, id)) AS doc_id", "'a b c' AS text", "NULL AS source")
+    packed = packing.best_fit_packing(docs, 10, 500).collect()
+    assert len(packed) == 9_000
+    assert len({r.bin_id for r in packed}) == 9_000  # copies of one cluster never share a bin
+    sizes = defaultdict(int)
+    for r in packed:
+        sizes[r.bin_id.split("-")[0]] += 1
+    assert len(sizes) == 19 and max(sizes.values()) < 700
+
+
+def test_names_of_bins_do_not_depend_on_partitions(spark):
+    docs = [(i % 7, " ".join(["w"] * (i % 5 * 10)), f"s{i % 3}" if i % 4 else None) for i in range(60)]
+    docs += [(None, "x " * 20, None)] * 3 + [(8, "A " * 20, "s"), (8, "a " * 20, "s"), (8, "a " * 20, "t")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    one, other = (rows(packing.best_fit_packing(frame.repartition(n), 10, 8)) for n in (1, 5))
+    assert one == other
+    full = [r[0] for r in one if r[5] == 10]
+    assert len(full) == len(set(full))
