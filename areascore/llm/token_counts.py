@@ -1,13 +1,20 @@
 """Token counts: whole texts encoded in Arrow batches, of which only the lengths come back.
 
-Batches for the encoder are balanced by bytes. Texts beyond a batch are cut at safe boundaries: a
-plain space between two characters of which neither is white space. There the pre-tokenizer always
-starts a new piece, merges never cross pieces, and no special string holds a space, so the
-counts of the parts add up to the count of the whole text.
+Batches for the encoder are balanced by bytes. Texts beyond a batch are cut at safe boundaries, where the
+byte-level pre-tokenizer always starts a new piece, whatever stands before and behind:
+
+* before white space that follows a character other than white space;
+* before full-width punctuation that follows a Chinese or Japanese character or a Korean syllable, as runs of
+  letters end where punctuation starts.
+
+Merges never cross pieces, so the counts of the parts add up to the count of the whole text. Both rules hold for the
+byte-level pattern without a normalizer, and for special strings without such a boundary inside that take no white
+space behind them along. This is looked up in the tokenizer's file; with another tokenizer texts are never cut.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -20,7 +27,10 @@ from pyspark.sql import functions as F
 from areascore.llm.batches import map_batches, texts
 
 BATCH_BYTES = 1 << 18
-SAFE = re.compile(r"(?<=\S) (?=\S)")
+# Both classes of letters and the punctuation are what every version of Unicode calls so.
+SAFE = re.compile(
+    r"(?<=\S)[ \t\n\r]|(?<=[\u3041-\u3096\u30a1-\u30fa\u4e00-\u9fa5\uac00-\ud7a3])[\u3001\u3002\uff01\uff0c\uff1a\uff1b\uff1f]"
+)
 
 
 @lru_cache(maxsize=2)
@@ -37,14 +47,31 @@ def load_tokenizer(path: str):
     return tokenizer
 
 
+@lru_cache(maxsize=2)
+def can_cut(path: str) -> bool:
+    """Whether the safe boundaries are safe with the tokenizer of a file."""
+    with open(path, encoding="utf-8") as file:
+        found = json.load(file)
+    first = found.get("pre_tokenizer") or {}
+    plain = first.get("type") == "ByteLevel" and first.get("use_regex", True) and not first.get("add_prefix_space")
+    special = found.get("added_tokens") or []
+    whole = not any(SAFE.search(token["content"]) or token.get("rstrip") for token in special)
+    return bool(plain and whole and not found.get("normalizer"))
+
+
+def n_bytes(text: str) -> int:
+    return len(text) if text.isascii() else len(text.encode("utf-8", "surrogatepass"))
+
+
 def safe_parts(text: str, most: int = BATCH_BYTES) -> Iterator[str]:
-    """Parts of ``text`` of about ``most`` characters, cut before a space inside words' borders.
+    """Parts of ``text`` of about ``most`` bytes, cut at safe boundaries.
 
-    A stretch without any such space stays whole, whatever its length.
+    A stretch without any such boundary stays whole, whatever its length.
     """
-    start = 0
-    while len(text) - start > most:
-        cut = SAFE.search(text, start + most)
+    start, total = 0, n_bytes(text)
+    step = max(1, most * len(text) // max(total, 1))  # characters that have about so many bytes
+    while len(text) - start > step:
+        cut = SAFE.search(text, start + step)
         if cut is None:
             break
         yield text[start : cut.start()]
@@ -56,7 +83,7 @@ def _balanced(parts: Iterator[tuple[int, str]], most: int) -> Iterator[list[tupl
     group, size = [], 0
     for row, part in parts:
         group.append((row, part))
-        size += len(part)
+        size += n_bytes(part)
         if size >= most:
             yield group
             group, size = [], 0
@@ -76,6 +103,7 @@ def count_tokens(
 
     def work(batch: pa.RecordBatch):
         tokenizer = load_tokenizer(tokenizer_path)
+        cut = can_cut(tokenizer_path)
         counts = np.zeros(batch.num_rows, dtype=np.int64)
         sizes = np.zeros(batch.num_rows, dtype=np.int64)
 
@@ -84,7 +112,7 @@ def count_tokens(
                 text = value.as_py()
                 if text:
                     sizes[row] = value.as_buffer().size
-                    for part in safe_parts(text, batch_bytes):
+                    for part in safe_parts(text, batch_bytes) if cut else [text]:
                         yield row, part
 
         for group in _balanced(parts(), batch_bytes):

@@ -16,6 +16,7 @@ MODEL = tokenizer_path("piece_bpe_32k.model")
 ODD_TEXTS = [
     "", " ", "\n\n", "  a  b\t\tc  ", "▁x ▁▁ y", "日本語 の テキスト　 は  x   y", "<|endoftext|> a<|endoftext|>b <|endo",
     "é à ô", "x" * 3000, "it's  I'll 've  ' s", "😀 😀 ", "a\x1c b \x7f c", "\x00\x01", "12 34  5 a1 b2\r\n x", "ab " * 2000, "日" * 700,
+    "漢字，仮名。テスト！다음，한국어。" * 40, "a  b\n\n\tc \r\n d\u3000 e" * 30, "one,two.three" * 40, "，。，。日，，日 。" * 20,
 ]
 
 
@@ -38,6 +39,34 @@ def test_counts_are_the_librarys(spark, corpus, batch_bytes):
         assert (row.n_bytes, row.n_tokens, row.over_limit) == (len((text or "").encode()), n, n > 512)
 
 
+@pytest.mark.parametrize("unit", ["漢字仮名，", "한국어。", "line\n", "two  spaces", "tab\t\t"])
+def test_long_texts_are_cut_by_bytes(unit):
+    text = unit * 2000
+    parts = list(tc.safe_parts(text, 500))
+    assert "".join(parts) == text
+    assert max(len(p.encode()) for p in parts) <= 500 + 4 * len(unit.encode())
+
+
+def test_balanced_by_bytes():
+    groups = list(tc._balanced(iter([(i, "日" * 10) for i in range(100)]), 300))
+    assert {len(g) for g in groups} == {10}
+
+
+def test_only_known_pretokenizers_are_cut(tmp_path):
+    import json
+
+    assert tc.can_cut(tokenizer_path())
+    plain = {"pre_tokenizer": {"type": "ByteLevel", "use_regex": True, "add_prefix_space": False}}
+    others = [
+        {}, {**plain, "normalizer": {"type": "NFC"}}, {**plain, "added_tokens": [{"content": "a b"}]},
+        {**plain, "added_tokens": [{"content": "<x>", "rstrip": True}]}, {"pre_tokenizer": {"type": "Split"}},
+    ]
+    for i, content in enumerate([plain, *others]):
+        path = tmp_path / f"{i}.json"
+        path.write_text(json.dumps(content))
+        assert tc.can_cut(str(path)) == (i == 0)
+
+
 def test_counts_of_odd_rows(odd, none):
     got = rows(tc.count_tokens(odd, tokenizer_path()))
     assert len(got) == 7 and (9, 0, 0, False) in got
