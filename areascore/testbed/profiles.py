@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from areascore.operators import profiling as ops
+from areascore.operators import sketches
 from areascore.operators.reshape import long_metrics
-from areascore.testbed.registry import query, r, round_columns, table
+from areascore.scratch import materialize
+from areascore.testbed.registry import query, r, round_columns, rounded, table
 
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount"]
 # Columns whose median lies well inside the rows of one value: there the sketch and exact SQL agree
@@ -140,3 +142,33 @@ def profile_numeric(spark, sf_dir):
 )
 def schema_survey(spark, sf_dir):
     return ops.schema_survey({name: table(spark, sf_dir, name) for name in SURVEYED})
+
+
+@query(
+    "quantile_rollup",
+    f"""WITH g AS (SELECT l_returnflag, count(*) AS n, min(l_extendedprice) AS lo, max(l_extendedprice) AS hi
+      FROM lineitem GROUP BY ALL)
+    SELECT l_returnflag, probability, n, TRUE AS within_bound,
+      {r("CASE probability WHEN 0 THEN lo WHEN 1 THEN hi END", "extreme")}
+    FROM g, (SELECT unnest([0, 0.1, 0.25, 0.5, 0.75, 0.9, 1])::DOUBLE AS probability)""",
+)
+def quantile_rollup(spark, sf_dir):
+    """Prices sketched by flag and ship day, stored, and merged by flag; their ranks counted in the rows."""
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_shipdate", "l_extendedprice")
+    daily = sketches.sketch_values(lines, ["l_returnflag", "l_shipdate"], "l_extendedprice")
+    merged = sketches.merge_sketches(materialize(daily, "daily-sketches"), ["l_returnflag"])
+    found = sketches.sketch_quantiles(merged, ["l_returnflag"], [0, 0.1, 0.25, 0.5, 0.75, 0.9, 1])
+    found = materialize(found, "quantiles")
+    met = lines.join(found, "l_returnflag").groupBy("l_returnflag", "probability", "n", "value")
+    ranks = met.agg(
+        F.count_if(F.col("l_extendedprice") < F.col("value")).alias("below"),
+        F.count_if(F.col("l_extendedprice") <= F.col("value")).alias("up_to"),
+    )
+    p, slack = F.col("probability"), F.lit(sketches.rank_error()) * F.col("n") + 1
+    return ranks.select(
+        "l_returnflag",
+        "probability",
+        "n",
+        ((F.col("below") <= p * F.col("n") + slack) & (F.col("up_to") >= p * F.col("n") - slack)).alias("within_bound"),
+        rounded(F.when(p.isin(0.0, 1.0), F.col("value"))).alias("extreme"),
+    )

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from areascore.operators.cleaning import drop_sentinels, normalize_columns
+from areascore.operators.reshape import union_all
 from areascore.scratch import scratch_path
 from areascore.sinks import write_csv, write_dataset, write_single_file, write_with_counts
-from areascore.sources import inferred_types, misfits, read_csv, read_dataset, read_inferred_csv, read_lookup_csv, read_population
+from areascore.sources import Layout, inferred_types, misfits, read_csv, read_dataset, read_inferred_csv, read_lookup_csv, read_population
 from areascore.testbed.cleaning import RAW_CUSTOMERS_SQL, raw_customers
 from areascore.testbed.registry import query, table
 
@@ -232,3 +233,35 @@ def stage_metrics(spark, sf_dir):
         F.lit(counts["rows"]).cast("long").alias("rows_out"),
         F.lit(counts["with_rent"]).cast("long").alias("with_rent"),
     )
+
+
+@query(
+    "layout_roundtrip",
+    """SELECT 'raw' AS folder, c_custkey AS key, c_name AS name FROM customer
+    UNION ALL SELECT 'cleaned', s_suppkey, s_name FROM supplier
+    UNION ALL SELECT 'enriched', p_partkey, p_name FROM part
+    UNION ALL SELECT 'scores', c_custkey, c_mktsegment FROM customer
+    UNION ALL SELECT 'analytics', p_partkey, p_type FROM part
+    UNION ALL SELECT 'geo', s_suppkey, CAST(s_nationkey AS VARCHAR) FROM supplier""",
+)
+def layout_roundtrip(spark, sf_dir):
+    """Every folder of a layout, written by path and read back by URI, with the raw feeds in a folder of their own."""
+    root = scratch_path(spark, "layout")
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    file_system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    uri = file_system.makeQualified(hadoop_path).toString()
+    written, read = Layout(f"{root}/", f"{root}/feeds/"), Layout(uri, f"{uri}/feeds")
+    contents = {
+        "raw": ("customer", "c_custkey", "c_name"),
+        "cleaned": ("supplier", "s_suppkey", "s_name"),
+        "enriched": ("part", "p_partkey", "p_name"),
+        "scores": ("customer", "c_custkey", "c_mktsegment"),
+        "analytics": ("part", "p_partkey", "p_type"),
+        "geo": ("supplier", "s_suppkey", "CAST(s_nationkey AS STRING)"),
+    }
+    parts = []
+    for folder, (name, key, value) in contents.items():
+        rows = table(spark, sf_dir, name).selectExpr(f"CAST({key} AS BIGINT) AS key", f"{value} AS name")
+        write_dataset(rows, getattr(written, folder)(name))
+        parts.append(read_dataset(spark, getattr(read, folder)(name)).select(F.lit(folder).alias("folder"), "key", "name"))
+    return union_all(parts)
