@@ -9,7 +9,8 @@ large-star and small-star.
 Buckets, however large, are never expanded into all pairs. Small ones are; in a large one the smallest
 members are compared with the rest. Buckets that still hold several components then get an exact
 similarity join over their documents by the rarest shingles, which pairs only what can be similar
-enough. Before all that, documents leave the buckets in which they cannot have a link: shingles that no
+enough: by lengths, by the places of a shared shingle and by parities of the sets. Members that share a frequent
+shingle, and the pairs of a hub, meet in blocks of ``BLOCK``. Before all that, documents leave the buckets in which they cannot have a link: shingles that no
 other candidate has bound their similarity with every other. So no pair is skipped for the size of its
 bucket.
 
@@ -39,6 +40,9 @@ MISSED = 4.4e-7  # share of the pairs at the threshold that share no bucket
 PERCENT = 85
 SMALL_BUCKET = 32
 HUBS = 4
+BLOCK = 512  # pairs of one document, and members that share a shingle, that are met together
+CELLS = 1 << 18  # counters that put shingles in order, rarest first
+PARITIES = 8  # 64-bit words of a set's parity
 RULED_OUT = MISSED / 1000  # share of the pairs at the threshold that their signatures may rule out
 
 
@@ -126,14 +130,27 @@ def _full_sets(docs: DataFrame, n_minima: int) -> DataFrame:
     return map_batches(docs, "id long, n long, shingles array<long>, minima array<int>", work)
 
 
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int, least: int) -> DataFrame:
+def _with_sets(pairs: DataFrame, sets: DataFrame, name: str, keep: Kept) -> DataFrame:
+    """``pairs`` with the set and the signature of the document in column ``name``.
+
+    The pairs of a document that stands in very many are dealt over blocks, each with a copy of its set.
+    """
+    side = sets.select(
+        F.col("id").alias(name), F.col("shingles").alias(f"{name}_set"), F.col("minima").alias(f"{name}_minima")
+    )
+    blocks = pairs.groupBy(name).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    blocks = keep(blocks.filter("blocks > 1"), "blocks")
+    count = F.coalesce("blocks", F.lit(1))
+    other = "b" if name == "a" else "a"
+    dealt = pairs.join(blocks, name, "left").withColumn("block", F.pmod(F.xxhash64(other), count).cast("int"))
+    copies = side.join(blocks, name, "left").withColumn("block", F.explode(F.sequence(F.lit(0), count - 1)))
+    return dealt.drop("blocks").join(copies.drop("blocks"), [name, "block"]).drop("block")
+
+
+def _confirm(pairs: DataFrame, sets: DataFrame, keep: Kept, percent: int, least: int) -> DataFrame:
     """Pairs (a, b) whose sets are similar enough, of those whose signatures agree in ``least`` minima."""
     n_minima = n_bands(percent) * ROWS
-
-    def side(name: str) -> DataFrame:
-        return sets.select(
-            F.col("id").alias(name), F.col("shingles").alias(f"{name}_set"), F.col("minima").alias(f"{name}_minima")
-        )
+    pairs = keep(pairs, "pairs")
 
     def work(batch: pa.RecordBatch):
         def column(name: str) -> tuple[np.ndarray, np.ndarray]:
@@ -151,7 +168,8 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int, least: int) -> Dat
         keep = pa.array(np.flatnonzero(linked))
         yield {"a": batch.column("a").take(keep), "b": batch.column("b").take(keep)}
 
-    return map_batches(pairs.join(side("a"), "a").join(side("b"), "b"), "a long, b long", work)
+    met = _with_sets(_with_sets(pairs, sets, "a", keep), sets, "b", keep)
+    return map_batches(met.select("a", "b", "a_set", "b_set", "a_minima", "b_minima"), "a long, b long", work)
 
 
 def _feasible(n_a: Column, m_a: Column, n_b: Column, m_b: Column, percent: int) -> Column:
@@ -184,23 +202,92 @@ def _pairs(hubs: DataFrame, members: DataFrame, percent: int, *also: Column) ->
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
+def _flat(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a list column, and where each row starts in them."""
+    offsets = column.offsets.to_numpy()
+    return column.values.to_numpy()[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def _cell_counts(sets: DataFrame) -> np.ndarray:
+    """How many shingles of ``sets`` fall into each of ``CELLS`` cells, at least 1.
+
+    The counts come to the driver and go to the tasks: at most ``CELLS`` numbers, whatever the sets.
+    """
+
+    def work(batch: pa.RecordBatch):
+        values, _ = _flat(batch.column("shingles"))
+        counts = np.bincount(values & (CELLS - 1), minlength=CELLS)
+        cells = np.flatnonzero(counts)
+        yield {"cell": cells.astype(np.int32), "k": counts[cells].astype(np.int64)}
+
+    found = map_batches(sets.select("shingles"), "cell int, k long", work).groupBy("cell").agg(F.sum("k").alias("k"))
+    found = found.toArrow()
+    out = np.ones(CELLS, dtype=np.int64)
+    out[found.column("cell").to_numpy()] = found.column("k").to_numpy()
+    return out
+
+
+def parity(shingles: np.ndarray) -> np.ndarray:
+    """For each of 64 * ``PARITIES`` cells, whether an odd number of the shingles falls in it, packed into 64-bit words.
+
+    Parities of two sets differ in no more bits than there are shingles in one set alone.
+    """
+    cells = (shingles.view(np.uint64) >> np.uint64(40)).astype(np.int64) % (64 * PARITIES)
+    odd = (np.bincount(cells, minlength=64 * PARITIES) & 1).astype(np.uint8)
+    return np.packbits(odd).view(np.int64)
+
+
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """s, id, component, n, at and parities p0… of the rarest shingles of ``sets``, as many as must hold a shared one.
+
+    The order is that of (count of the shingle's cell, shingle). Any order gives the same links; this one leaves
+    frequent shingles out of the prefixes.
+    """
+    counts = _cell_counts(sets)
+
+    def work(batch: pa.RecordBatch):
+        values, offsets = _flat(batch.column("shingles"))
+        n = np.diff(offsets).astype(np.int64)
+        row = np.repeat(np.arange(len(n)), n)
+        order = np.lexsort((values, counts[values & (CELLS - 1)], row))
+        at = np.arange(len(values)) - offsets[row]
+        order, at, row = (x[at <= (n * (100 - percent) // 100)[row]] for x in (order, at, row))
+        bits = np.array([parity(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)])
+        out = {"s": values[order], "n": n[row], "at": at.astype(np.int64)}
+        out |= {c: batch.column(c).take(pa.array(row)) for c in ("id", "component")}
+        yield out | {f"p{i}": bits[row, i] for i in range(PARITIES)}
+
+    schema = "s long, id long, component long, n long, at long, " + ", ".join(f"p{i} long" for i in range(PARITIES))
+    return map_batches(sets.select("id", "component", "shingles"), schema, work)
+
+
 def _prefix_pairs(rest: DataFrame, sets: DataFrame, keep: Kept, percent: int) -> DataFrame:
     """Pairs (a, b) of ``rest`` (id, component) in different components that can be similar enough.
 
     Shingles are put in one order, rarest first. Two sets similar enough share a shingle among the first
-    few of both, and after the first one they share there must be enough left in both; nothing else is paired.
+    few of both, after the first one they share there must be enough left in both, and their parities differ
+    in few bits; nothing else is paired. A shingle within one component pairs nothing. Members of a frequent one
+    meet block by block.
     """
-    each = sets.join(rest, "id").select("id", "component", "n", F.explode("shingles").alias("s"))
-    each = keep(each, "shingles")
-    counts = each.groupBy("s").agg(F.count("*").alias("k"))
-    at = F.row_number().over(Window.partitionBy("id").orderBy("k", "s")) - 1
-    ordered = each.join(counts, "s").withColumn("at", at)
-    prefix = ordered.filter((F.col("k") > 1) & (F.col("at") <= F.col("n") - F.ceil(F.col("n") * percent / 100)))
-    prefix = keep(prefix.select("s", "id", "component", "n", "at"), "prefixes")
-    x, y = (prefix.select("s", *[F.col(c).alias(f"{p}_{c}") for c in ("id", "component", "n", "at")]) for p in "xy")
-    left = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))
-    enough = left * (100 + percent) >= percent * (F.col("x_n") + F.col("y_n"))
-    met = x.join(y, "s").filter((F.col("x_id") < F.col("y_id")) & (F.col("x_component") != F.col("y_component")) & enough)
+    left = keep(sets.join(rest, "id").select("id", "component", "shingles"), "sets")
+    prefix = keep(_prefixes(left, percent), "prefixes")
+    spans = prefix.groupBy("s").agg(
+        F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.min("component").alias("lo"), F.max("component").alias("hi")
+    )
+    prefix = prefix.join(spans.filter("lo < hi").select("s", "blocks"), "s")
+    prefix = keep(prefix.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")), "prefixes")
+    names = ("id", "component", "n", "at", *[f"p{i}" for i in range(PARITIES)])
+
+    def side(p: str, mine: str, other: str) -> DataFrame:
+        every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias(other)
+        return prefix.select("s", F.col("block").alias(mine), every, *[F.col(c).alias(f"{p}_{c}") for c in names])
+
+    n = F.col("x_n") + F.col("y_n")
+    rest_of = F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))
+    differ = sum((F.bit_count(F.col(f"x_p{i}").bitwiseXOR(F.col(f"y_p{i}"))) for i in range(PARITIES)), F.lit(0))
+    met = side("x", "i", "j").join(side("y", "j", "i"), ["s", "i", "j"])
+    met = met.filter((F.col("x_id") < F.col("y_id")) & (F.col("x_component") != F.col("y_component")))
+    met = met.filter((rest_of * (100 + percent) >= percent * n) & (differ * (100 + percent) <= (100 - percent) * n))
     return met.select(F.col("x_id").alias("a"), F.col("y_id").alias("b")).distinct()
 
 
@@ -212,7 +299,7 @@ def _links(members: DataFrame, sets: DataFrame, keep: Kept, percent: int) -> Dat
     hubs = keep(large.withColumn("place", place).filter(F.col("place") <= HUBS).drop("place"), "hubs")
     pairs = _pairs(small, small, percent, F.col("x") < F.col("y"))
     pairs = pairs.unionAll(_pairs(hubs, large, percent, F.col("x") < F.col("y"))).distinct()
-    links = keep(_confirm(pairs, sets, percent, least_agreement(percent)), "links")
+    links = keep(_confirm(pairs, sets, keep, percent, least_agreement(percent)), "links")
     found = keep(connected_components(links), "components")
     if hubs.isEmpty():
         return found
@@ -221,7 +308,8 @@ def _links(members: DataFrame, sets: DataFrame, keep: Kept, percent: int) -> Dat
     mixed = placed.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"))
     rest = placed.join(mixed.filter("x < y").select("key"), "key", "left_semi").select("id", "component").distinct()
     # These pairs are exact: signatures have no say.
-    more = keep(_confirm(_prefix_pairs(keep(rest, "rest"), sets, keep, percent), sets, percent, 0), "links")
+    more = _prefix_pairs(keep(rest, "rest"), sets, keep, percent)
+    more = keep(_confirm(more, sets, keep, percent, 0), "links")
     # Components so far count as stars, so only what is new has to be closed.
     stars = found.filter("id <> component").select(F.col("id").alias("a"), F.col("component").alias("b"))
     return connected_components(stars.unionAll(more)) if not more.isEmpty() else found

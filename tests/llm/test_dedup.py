@@ -1,12 +1,15 @@
+import collections
 import math
 
 import brute
+import numpy as np
 import pytest
 from cases import corpus, documents_frame, none, odd  # noqa: F401
 from conftest import rows
 from pyspark.sql import functions as F
 
 from areascore.llm import block_naming, components, line_windows, minhash, relative_lz
+from areascore.llm.batches import Kept
 from areascore.scratch import release
 
 
@@ -64,6 +67,7 @@ def test_near_dedup(documents_frame, corpus):
 def test_near_dedup_of_large_buckets(documents_frame, corpus, monkeypatch):
     monkeypatch.setattr(minhash, "SMALL_BUCKET", 3)
     monkeypatch.setattr(minhash, "HUBS", 1)
+    monkeypatch.setattr(minhash, "BLOCK", 2)
     assert as_dict(minhash.near_dedup(documents_frame)) == brute.near_groups(corpus)
 
 
@@ -80,8 +84,67 @@ def test_pairs_of_the_exact_join_are_confirmed_without_signatures(spark):
     rows_ = [(i, 20 - i, list(range(i, 20)), [i] * n) for i in (0, 2, 4)]
     sets = spark.createDataFrame(rows_, "id long, n long, shingles array<long>, minima array<int>")
     pairs = spark.createDataFrame([(0, 2), (0, 4), (2, 4)], "a long, b long")
-    assert rows(minhash._confirm(pairs, sets, 85, 0)) == [(0, 2), (2, 4)]
-    assert rows(minhash._confirm(pairs, sets, 85, minhash.least_agreement(85))) == []
+    keep = Kept(spark)
+    assert rows(minhash._confirm(pairs, sets, keep, 85, 0)) == [(0, 2), (2, 4)]
+    assert rows(minhash._confirm(pairs, sets, keep, 85, minhash.least_agreement(85))) == []
+
+
+def _random_sets(n_sets, seed):
+    """Sets around a few bases, in numbers that make shared shingles frequent."""
+    random = np.random.default_rng(seed)
+    bases = [random.integers(-(2**63), 2**63 - 1, size=n) for n in (6, 30, 30, 60)]
+    out = []
+    for i in range(n_sets):
+        base = bases[i % len(bases)]
+        own = random.integers(-(2**63), 2**63 - 1, size=int(random.integers(0, 8)))
+        out.append(np.unique(np.concatenate((base[random.random(len(base)) > 0.05], own, base[:1]))))
+    return out
+
+
+@pytest.mark.parametrize("percent, block", [(80, 8), (85, 512)])
+def test_prefix_pairs_hold_every_link(spark, monkeypatch, percent, block):
+    """Every similar pair in different components is paired, once, however frequent its shingles are."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    found = _random_sets(120, percent)
+    sets = spark.createDataFrame([(i, len(s), s.tolist()) for i, s in enumerate(found)], "id long, n long, shingles array<long>")
+    rest = spark.createDataFrame([(i, i // 3) for i in range(len(found))], "id long, component long")
+    got = rows(minhash._prefix_pairs(rest, sets, Kept(spark), percent))
+    assert len(got) == len(set(got)) and all(a < b and a // 3 != b // 3 for a, b in got)
+    linked = set()
+    for a, x in enumerate(found):
+        for b in range(a + 1, len(found)):
+            both = len(np.intersect1d(x, found[b]))
+            if a // 3 != b // 3 and 100 * both >= percent * (len(x) + len(found[b]) - both):
+                linked.add((a, b))
+    assert linked and linked <= set(got)
+
+
+def test_parities_differ_in_no_more_bits_than_sets_do():
+    found = _random_sets(40, 3)
+    for x in found:
+        for y in found:
+            bits = sum(int(v).bit_count() for v in (minhash.parity(x) ^ minhash.parity(y)).view(np.uint64))
+            assert bits <= len(np.setxor1d(x, y))
+
+
+def test_pairs_of_a_hub_are_dealt_over_blocks(spark, monkeypatch):
+    """A document in very many pairs has its set copied to blocks; no block holds more than about ``BLOCK`` pairs."""
+    monkeypatch.setattr(minhash, "BLOCK", 16)
+    base = list(range(40))
+    data = [(i, 40, base if i % 2 else base[:20] + list(range(100 * i, 100 * i + 20)), [0]) for i in range(1, 301)]
+    sets = spark.createDataFrame([(0, 40, base, [0]), *data], "id long, n long, shingles array<long>, minima array<int>")
+    pairs = spark.createDataFrame([(0, i) for i in range(1, 301)], "a long, b long")
+    before = {c: spark.conf.get(c) for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        met = minhash._with_sets(pairs, sets, "a", Kept(spark)).withColumn("task", F.spark_partition_id())
+        found = [tuple(r) for r in met.select("a", "b", F.size("a_set"), "task").collect()]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sorted(r[:3] for r in found) == [(0, i, 40) for i in range(1, 301)]
+    assert max(collections.Counter(r[3] for r in found).values()) < 300 and met.filter("size(a_set) = 40").count() == 300
 
 
 def test_near_dedup_of_odd_rows(odd, none):
