@@ -283,11 +283,8 @@ def fill_structural_nulls(spark, sf_dir):
     f"WITH {FEATURES_SQL} SELECT area_code, {r('rent_mean')}, rent_imputed FROM features",
 )
 def override_impute(spark, sf_dir):
-    rent = lookup_join(
-        area_names(spark, sf_dir), rents(spark, sf_dir), "area_key"
-    ).select("area_code", "rent_mean")
-    given = overrides(spark, sf_dir)
-    filled = ops.override_nulls(rent, given, "area_code", "rent_mean", "rent_imputed")
+    """Of the merged areas: those with rows in any source, whether they have a name or not."""
+    filled = area_features(spark, sf_dir).select("area_code", "rent_mean", "rent_imputed")
     return round_columns(filled, "rent_mean")
 
 
