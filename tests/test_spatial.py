@@ -236,3 +236,37 @@ def test_blank_alias_counts_as_missing_on_the_map_only(spark, tmp_path):
     assert read_features(spark, path).first()["area_code"] == ""
     assert read_features(spark, path, blank_is_missing=True).first()["area_code"] == "Z"
     assert polygon_edges(read_features(spark, path)).count() == 1
+
+
+@pytest.mark.parametrize("cell_group", [64, 1])
+def test_like_levels_move_the_points_once(spark, tmp_path, cell_group):
+    """Three cell sides that share tiles, negative cells and repeated rows, against brute force."""
+    rng = random.Random(8)
+    shapes, features = [], []
+    for i, size in enumerate(sorted(rng.choice([0.5, 1, 2]) for _ in range(90))):
+        x, y = rng.uniform(-10, 10), rng.uniform(-10, 10)
+        rings = [ring([(x - size, y - size), (x + size, y - size / 2), (x + size / 4, y + size)])]
+        shapes.append((f"C{i}", rings))
+        features.append(feature(f"C{i}", None, rings))
+    index = build_cells(read_polygons(spark, write_collection(tmp_path / "a.geojson", features)), cell_group=cell_group)
+    assert len(index.levels) == 3
+    points = [(k // 2, rng.randint(-96, 96) / 8, rng.randint(-96, 96) / 8) for k in range(1200)] + [(-1, math.nan, 1.0)]
+    points += points[::2]
+    df = spark.createDataFrame(points, "k int, Longitude double, Latitude double")
+    located = locate_points(df, index, broadcast_bytes=0)
+    got = [tuple(row) for row in located.select("k", "Longitude", "Latitude", "area_code").collect()]
+    expected = [(k, x, y, None if math.isnan(x) else brute_force(shapes, x, y)) for k, x, y in points]
+    assert sorted(map(repr, got)) == sorted(map(repr, expected)) and len({row[3] for row in got}) > 10
+
+
+def test_no_growing_side_is_sent_whole(spark):
+    """An index beyond the wanted size, of files that Spark takes for small: neither it nor the hits are broadcast."""
+    from areascore.testbed import places
+
+    sf_dir = "/root/testdata/sf0.001"
+    for cell_group, moves in ((64, 1), (1, 2)):
+        index = build_cells(places.polygons(spark, sf_dir), cell_group=cell_group)
+        near = places.points_near_edges(spark, sf_dir).select("x", "y").distinct()
+        located = locate_points(near, index, "x", "y", broadcast_bytes=0)
+        plan = located._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and plan.count("SortMergeJoin") == moves
