@@ -44,14 +44,19 @@ def lookup_csv(spark, sf_dir):
     """SELECT doc_id, concat(text, chr(10), 'said "', lang, '",', chr(10), chr(10), 'end') AS text, lang, n_chars FROM documents""",
 )
 def csv_split_records(spark, sf_dir):
-    """One file whose texts have line breaks, commas and quotes, read by as many tasks as it has ranges."""
-    path = scratch_path(spark, "documents") + ".csv"
+    """Files whose texts have line breaks, commas and quotes, read by as many tasks as they have ranges."""
+    columns = {"doc_id": "bigint", "text": "string", "lang": "string", "n_chars": "bigint"}
+    return read_csv(spark, awkward_documents(spark, sf_dir), columns, split=True)
+
+
+def awkward_documents(spark, sf_dir):
+    """A folder with a file for each piece of the documents: as one file, a single task would have to write them all."""
+    path = scratch_path(spark, "documents-csv")
     awkward = table(spark, sf_dir, "documents").selectExpr(
         "doc_id", """concat(text, '\n', 'said "', lang, '",', '\n\n', 'end') AS text""", "lang", "n_chars"
     )
-    write_single_file(awkward, path, "csv")
-    columns = {"doc_id": "bigint", "text": "string", "lang": "string", "n_chars": "bigint"}
-    return read_csv(spark, path, columns, split=True)
+    write_csv(awkward, path)
+    return path
 
 
 # Texts of orders: whole numbers, ones beyond 32 bits, prices, dates, moments, words, and mixtures of them.

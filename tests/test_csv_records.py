@@ -154,3 +154,15 @@ def test_tolerance_and_misfits(spark, tmp_path):
     text = read_csv(spark, str(path))
     assert rows(misfits(text, {"a": "double", "b": "int"})) == [("a", "double", 50, 0), ("b", "int", 50, 50)]
     assert inferred_types(text.limit(0)).count() == 0
+
+
+def test_no_task_writes_all_documents(spark, tmp_path):
+    from areascore.testbed import QUERIES, storage
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs.repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    got = QUERIES["csv_split_records"](spark, str(tmp_path))
+    assert got.count() == docs.count()
+    path = storage.awkward_documents(spark, str(tmp_path))
+    files = read_records(spark, path).groupBy("file").count().collect()
+    assert len(files) == 4 and max(row["count"] for row in files) < docs.count() / 2
