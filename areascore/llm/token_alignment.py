@@ -35,6 +35,8 @@ from areascore.llm.words import row_slices, text_bytes
 BLOCK = 1 << 21
 CHUNK = 1 << 12  # bytes that go to an encoder as one string
 STORED = 1 << 18  # pieces that a process remembers
+ADDED = 1 << 13  # pieces that are encoded at a time: encodings take up some hundred times the bytes of their text
+RENDERED = 1 << 15  # groups that are written as text at a time
 SPACE = "▁"
 COMMA, BAR, SEMICOLON = b",|;"
 # First bytes of characters among which there is white space beyond ASCII (U+0085, U+00A0, U+1680, U+2000 to U+3000).
@@ -283,8 +285,8 @@ class Pieces:
         if len(self.known) + len(raw) > STORED:
             self.forget()
         new = [x for x in raw if x not in self.known]
-        if new:
-            self.add(new)
+        for i in range(0, len(new), ADDED):
+            self.add(new[i : i + ADDED])
         return np.array([self.known[x] for x in raw], dtype=np.int64)
 
     def add(self, raw: list[bytes]) -> None:
@@ -403,7 +405,16 @@ def _aligned(data: np.ndarray, offsets: np.ndarray, store: Pieces) -> dict:
     last[a_first[1:][a_first[1:] > a_first[:-1]] - 1] = True
     a_cuts, b_cuts = (np.concatenate(([0], x + 1)) for x in (a_common, b_common))
     group_first = np.searchsorted(a_common, a_first)
-    text, sizes = _rendered(a, b, a_cuts, b_cuts, last[a_common], store.a_vocabulary, store.b_vocabulary)
+    rendered = []
+    for low in range(0, max(len(a_common), 1), RENDERED):
+        x, y = (c[low : low + RENDERED + 1] for c in (a_cuts, b_cuts))
+        rendered.append(
+            _rendered(
+                a[x[0] : x[-1]], b[y[0] : y[-1]], x - x[0], y - y[0], last[a_common[low : low + RENDERED]],
+                store.a_vocabulary, store.b_vocabulary,
+            )
+        )
+    text, sizes = map(np.concatenate, zip(*rendered, strict=True))
     text_at = np.concatenate(([0], np.cumsum(sizes)))[group_first]
     n_a, n_b, n_groups = np.diff(a_first), np.diff(b_first), np.diff(group_first)
     # Pairs of the pieces that occur, counted for the block.

@@ -147,3 +147,27 @@ def test_hot_pair_costs_a_row_a_block(spark):
     assert len(rows) <= 4 and all(len(r.pairs) < 10 for r in rows)
     got = ta.align(docs, A_PATH, B_PATH).select(*COLUMNS).distinct().collect()
     assert len(got) == 1 and got[0].n_links * 400 <= got[0].count_sum
+
+
+def test_encodings_and_text_in_portions(monkeypatch):
+    """What is held at a time is bounded, and portions of any size give the same columns."""
+    texts = [f"word{i} plain text {i * 7919} é{i}" for i in range(3000)]
+    data = np.frombuffer("".join(texts).encode(), dtype=np.uint8)
+    offsets = np.concatenate(([0], np.cumsum([len(t.encode()) for t in texts])))
+    added, add = [], ta.Pieces.add
+
+    def counted(self, raw):
+        added.append(len(raw))
+        add(self, raw)
+
+    monkeypatch.setattr(ta.Pieces, "add", counted)
+
+    def aligned():
+        found = ta._aligned(data, offsets, ta.Pieces(ta.load_first(A_PATH), ta.load_second(B_PATH)))
+        return {name: np.asarray(x).tolist() if isinstance(x, np.ndarray) else x.to_pylist() for name, x in found.items()}
+
+    whole = aligned()
+    assert sum(added) > 8192 >= max(added)
+    monkeypatch.setattr(ta, "ADDED", 100)
+    monkeypatch.setattr(ta, "RENDERED", 333)
+    assert aligned() == whole
